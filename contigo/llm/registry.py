@@ -4,12 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import packing
+from . import chat, mixing, packing, quality_rules
 
 
 def queries() -> dict[str, Callable]:
-    return {"op1_packing": packing.op1_packing}
+    return {
+        "op1_packing": packing.op1_packing,
+        "op3_quality_rules": quality_rules.op3_quality_rules,
+        "op7_chat_formatting": chat.op7_chat_formatting,
+        "op8_mixing": mixing.op8_mixing,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op3_quality_rules": quality_rules.SQL,
+        "op7_chat_formatting": chat.SQL,
+    }
