@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import chat, mixing, packing, quality_rules
+from . import chat, mixing, packing, quality_rules, repeats
 
 
 def queries() -> dict[str, Callable]:
@@ -13,6 +13,7 @@ def queries() -> dict[str, Callable]:
         "op3_quality_rules": quality_rules.op3_quality_rules,
         "op7_chat_formatting": chat.op7_chat_formatting,
         "op8_mixing": mixing.op8_mixing,
+        "op10_repeats": repeats.op10_repeats,
     }
 
 
