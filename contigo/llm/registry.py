@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import chat, jaccard, mixing, packing, quality_rules, repeats
+from . import chat, jaccard, mixing, packing, quality_rules, repeats, toxicity
 
 
 def queries() -> dict[str, Callable]:
     return {
         "op1_packing": packing.op1_packing,
         "op3_quality_rules": quality_rules.op3_quality_rules,
+        "op4_toxicity": toxicity.op4_toxicity,
         "op5_jaccard_join": jaccard.op5_jaccard_join,
         "op7_chat_formatting": chat.op7_chat_formatting,
         "op8_mixing": mixing.op8_mixing,
