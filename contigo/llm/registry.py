@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import chat, jaccard, mixing, packing, quality_rules, repeats, toxicity
+from . import chat, jaccard, mixing, packing, quality_model, quality_rules, repeats, toxicity
 
 
 def queries() -> dict[str, Callable]:
@@ -13,6 +13,7 @@ def queries() -> dict[str, Callable]:
         "op3_quality_rules": quality_rules.op3_quality_rules,
         "op4_toxicity": toxicity.op4_toxicity,
         "op5_jaccard_join": jaccard.op5_jaccard_join,
+        "op6_quality_model": quality_model.op6_quality_model,
         "op7_chat_formatting": chat.op7_chat_formatting,
         "op8_mixing": mixing.op8_mixing,
         "op10_repeats": repeats.op10_repeats,
@@ -22,5 +23,6 @@ def queries() -> dict[str, Callable]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_quality_rules": quality_rules.SQL,
+        "op6_quality_model": quality_model.op6_quality_model,
         "op7_chat_formatting": chat.SQL,
     }
