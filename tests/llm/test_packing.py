@@ -73,3 +73,27 @@ def test_documents(spark):
             at += n
         assert at <= 2048
     assert pack_documents(df.limit(0), word_tokenizer()).count() == 0
+
+
+def test_merging_by_rank_is_merging_by_pair():
+    import json
+
+    from contigo.llm.packing import WordTokens, _by_rank
+
+    model = json.load(open(word_tokenizer()))["model"]
+    rank = {tuple(m): k for k, m in enumerate(model["merges"])}
+    assert len({a + b for a, b in rank}) == len(rank)
+    for a, b in rank:  # every token's own text gives the token again, by pairs
+        t = a + b
+        end = t.endswith("</w>")
+        parts = list(t.removesuffix("</w>"))
+        if end:
+            parts[-1] += "</w>"
+        while len(parts) > 1:
+            k = min(range(len(parts) - 1), key=lambda i: rank.get((parts[i], parts[i + 1]), 1 << 30))
+            assert (parts[k], parts[k + 1]) in rank, t
+            parts[k : k + 2] = [parts[k] + parts[k + 1]]
+        assert parts == [t]
+    tokens, rng = WordTokens(word_tokenizer()), random.Random(1)
+    words = list({"".join(rng.choice("abcdefghijklmnopqrstuvwxyzßàéñöü") for _ in range(rng.randint(1, 14))) for _ in range(20000)})
+    assert tokens._stem_ids(words) == tokens._ids(words)
