@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import chat, jaccard, mixing, packing, quality_model, quality_rules, repeats, toxicity
+from . import chat, jaccard, media, mixing, packing, quality_model, quality_rules, repeats, toxicity
 
 
 def queries() -> dict[str, Callable]:
     return {
         "op1_packing": packing.op1_packing,
+        "op2_media_tiff": media.op2_media_tiff,
         "op3_quality_rules": quality_rules.op3_quality_rules,
         "op4_toxicity": toxicity.op4_toxicity,
         "op5_jaccard_join": jaccard.op5_jaccard_join,
