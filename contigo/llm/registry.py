@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import chat, jaccard, media, mixing, packing, quality_model, quality_rules, repeats, toxicity
+from . import chat, jaccard, media, mixing, packing, pii, quality_model, quality_rules, repeats, toxicity
 
 
 def queries() -> dict[str, Callable]:
@@ -17,6 +17,7 @@ def queries() -> dict[str, Callable]:
         "op6_quality_model": quality_model.op6_quality_model,
         "op7_chat_formatting": chat.op7_chat_formatting,
         "op8_mixing": mixing.op8_mixing,
+        "op9_pii_surrogates": pii.op9_pii_surrogates,
         "op10_repeats": repeats.op10_repeats,
     }
 
