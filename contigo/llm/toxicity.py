@@ -307,6 +307,24 @@ def find_passages(docs: DataFrame, model: Model) -> DataFrame:
     return out.withColumn("score", 1 / (1 + F.exp(-line))).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of docs with a score under 0.5, in one pass without a join."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    names = docs.columns
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            text = batch.column(names.index("text")).fill_null("")
+            best, passages = [], []
+            for got in _scored(shared)([pa.RecordBatch.from_arrays([batch.column(names.index("doc_id")), text], ["doc_id", "text"])]):
+                best.append(got.column(2).to_numpy())
+                passages.append(np.diff(got.column(3).offsets.to_numpy()))
+            if best:
+                yield batch.filter(pa.array(shared.value.chance(np.concatenate(best), np.concatenate(passages)) < 0.5))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def fold(mod: int) -> Column:
     """crc32 of doc_id as text, modulo mod."""
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % mod

@@ -60,5 +60,7 @@ def test_learns_and_marks(spark):
     p = by[2002].passages[0]
     assert text[p.start : p.end].decode().startswith("éxxbad") and p.expected < 0.05
     assert toxicity.find_passages(d.limit(0), model).count() == 0
+    kept = sorted(map(tuple, toxicity.keep_clean(d, model).collect()), key=str)
+    assert kept == sorted((x for x in docs if not by[x[0]].predicted), key=str)
     none = toxicity.learn(d, lab.limit(0), F.lit(True))
     assert all(r.score < 1e-6 and r.predicted == 0 for r in toxicity.find_passages(d, none).collect())
