@@ -3,7 +3,7 @@
 Words are runs of other characters than ASCII white space, A-Z in lower case. Shingles are
 64-bit hashes of five words. The join runs in tiles of documents of like size:
 
-1. Signatures. Each document gets the size of its set, a 512-bit hashed bitmap of it, and 64
+1. Signatures. Each document gets the size of its set, a 2048-bit hashed bitmap of it, and 64
    tile keys: every key hashes four bins of a 256-bin min-wise sketch (fast similarity
    sketching), so two documents at similarity 0.75 share none of the 64 with a chance of
    about (1 - 0.75**4)**64 = 3e-11, far less above it. Documents with equal sets are one
@@ -11,11 +11,15 @@ Words are runs of other characters than ASCII white space, A-Z in lower case. Sh
 2. Stars. Each set is held against one other: the least set of the tile it shares most keys
    with. Bit counts bound the overlap from above: each bit of x that y lacks is an element y
    lacks. What passes is decided by intersecting the sorted shingle arrays. Links make
-   components. This settles groups of near copies of any size with one comparison a copy.
+   components. Then sets are held against the least sets of their other tiles, where those
+   are of other components. This settles groups of near copies of any size with a few
+   comparisons a copy.
 3. Tiles. Where a tile still holds several components, its sets are laid out by size band (a
-   factor of 4/3, each set also visits the next band) and blocks of at most ``BLOCK`` sets;
-   in each pair of blocks, sets of different components are compared by size and bit counts,
-   and what passes by the exact intersection. Pairs within a component are never made.
+   factor of 4/3, each set also visits the next band) and blocks of at most some ``BLOCK``
+   sets; in each pair of blocks, sets of different components are compared by size and bit
+   counts, and what passes by the exact intersection: for ``BEST_ROUNDS`` rounds each set's
+   likeliest partner only, then, among the components that are left, all. Pairs within a
+   component are never made.
 4. Components of all links; every document gets the least doc_id of its component.
 
 Nothing is capped: large tiles become more blocks. Tables between steps are written to the
@@ -39,11 +43,13 @@ from .common import Staging, read_table, text_docs
 from .repeats import CHUNK_BYTES, _buffers, _groups, _power, _sums
 
 WORDS = 5
-BINS, PER_KEY, BITS = 256, 4, 512
+BINS, PER_KEY, BITS = 256, 4, 2048
 KEYS = BINS // PER_KEY
 #: Rounds in which an element picks its bin; in the next ones, bins not yet filled take the least of all elements.
 ROUNDS = 48
 BLOCK = 2048
+#: Rounds in which a set of a mixed tile is held against its likeliest partner only, before all are.
+BEST_ROUNDS = 2
 
 _rng = np.random.default_rng(5)
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -142,7 +148,7 @@ def _signatures(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 parts = (sketches(elements, starts) * _GROUP).reshape(len(some), KEYS, PER_KEY).sum(axis=2, dtype=np.uint64)
                 keys[some] = _mix(parts + np.arange(KEYS, dtype=np.uint64))
                 marked = np.zeros(len(some) * BITS, bool)
-                marked[np.repeat(np.arange(len(some)), sizes[some]) * BITS + (elements >> np.uint64(55)).astype(np.int64)] = True
+                marked[np.repeat(np.arange(len(some)), sizes[some]) * BITS + (elements >> np.uint64(53)).astype(np.int64)] = True
                 bits[some] = np.packbits(marked.reshape(len(some), BITS), axis=1).view(np.int64)
             lists = lambda x: pa.ListArray.from_arrays(pa.array(np.arange(b - a + 1, dtype=np.int32) * x.shape[1]), pa.array(x.view(np.int64).ravel()))  # noqa: B023, E731
             yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), pa.array(sizes), pa.array(id1.view(np.int64)), pa.array(id2.view(np.int64)), lists(keys), lists(bits)], ["doc_id", "n", "id1", "id2", "keys", "bits"])
@@ -174,50 +180,65 @@ def _linked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep))
 
 
-def _tiles(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (key, band, i, j, rep, n, c, own, second, bits) in order of (key, band, i, j) to pairs (a, b) that bit counts can't rule out."""
+def _tiles(best_only: bool):
+    """Rows (key, band, i, j, g, rep, n, c, own, second, bits, keys) in order of (key, band, i, j) to pairs (a, b)
+    of different components that bit counts can't rule out; best_only: for each set, its likeliest partner in the tile.
+    A pair that meets in several tiles counts in that of the first key it shares."""
 
     def pairs(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         tile = rows.combine_chunks().to_batches()[0]
-        rep, n, c, own, second = (tile.column(k).to_numpy(zero_copy_only=False) for k in range(4, 9))
-        bits = tile.column(9).flatten().to_numpy().reshape(len(rep), -1).view(np.uint64)
-        i, j = tile.column(2)[0].as_py(), tile.column(3)[0].as_py()
+        i, j, g = (tile.column(k)[0].as_py() for k in (2, 3, 4))
+        rep, n, c, own, second = (tile.column(k).to_numpy(zero_copy_only=False) for k in range(5, 10))
+        bits, keys = (tile.column(k).flatten().to_numpy().reshape(len(rep), -1) for k in (10, 11))
         left = np.arange(len(rep)) if i == j else np.flatnonzero(~second)
         right = left if i == j else np.flatnonzero(second)
+        best = np.zeros(len(rep), np.int64)
         for k in range(0, len(left), 64):
             p = left[k : k + 64]
             ok = (c[p][:, None] != c[right]) & (own[p][:, None] | own[right])
-            small, large = np.minimum(n[p][:, None], n[right]), np.maximum(n[p][:, None], n[right])
-            ok &= 4 * small >= 3 * large
+            ok &= 4 * np.minimum(n[p][:, None], n[right]) >= 3 * np.maximum(n[p][:, None], n[right])
             if i == j:
                 ok &= rep[p][:, None] < rep[right]
             u, v = np.nonzero(ok)
-            if not len(u):
+            for at in range(0, len(u), 20_000):
+                a, b = p[u[at : at + 20_000]], right[v[at : at + 20_000]]
+                new = (keys[a, :g] != keys[b, :g]).all(axis=1)
+                a, b = a[new], b[new]
+                only_a = np.bitwise_count(bits[a] & ~bits[b]).sum(axis=1, dtype=np.int64)
+                only_b = np.bitwise_count(bits[b] & ~bits[a]).sum(axis=1, dtype=np.int64)
+                most = np.minimum(n[a] - only_a, n[b] - only_b)
+                good = 7 * most >= 3 * (n[a] + n[b])
+                a, b, most = a[good], b[good], most[good]
+                if best_only:
+                    rate = (most << 20) // (n[a] + n[b]) << 32
+                    np.maximum.at(best, a, rate | b)
+                    np.maximum.at(best, b, rate | a)
+                elif len(a):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(rep[a], rep[b])), pa.array(np.maximum(rep[a], rep[b]))], ["a", "b"])
+        if best_only and best.any():
+            a = np.flatnonzero(best)
+            b = best[a] & ((1 << 32) - 1)
+            both = np.unique(np.stack([np.minimum(rep[a], rep[b]), np.maximum(rep[a], rep[b])]), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], ["a", "b"])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            a, b = p[u], right[v]
-            only_a = np.bitwise_count(bits[a] & ~bits[b]).sum(axis=1)
-            only_b = np.bitwise_count(bits[b] & ~bits[a]).sum(axis=1)
-            most = np.minimum(n[a] - only_a, n[b] - only_b)
-            good = 7 * most >= 3 * (n[a] + n[b])
-            a, b = rep[a[good]], rep[b[good]]
-            if len(a):
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
-
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        marks = np.stack([batch.column(k).to_numpy() for k in range(4)])
-        cuts = [0, *(np.flatnonzero((marks[:, 1:] != marks[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
-        if held and tuple(held[-1].column(k)[0].as_py() for k in range(4)) != tuple(marks[:, 0].tolist()):
+            marks = np.stack([batch.column(k).to_numpy() for k in range(4)])
+            cuts = [0, *(np.flatnonzero((marks[:, 1:] != marks[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+            if held and tuple(held[-1].column(k)[0].as_py() for k in range(4)) != tuple(marks[:, 0].tolist()):
+                yield from pairs(pa.Table.from_batches(held))
+                held = []
+            for a, b in zip(cuts[:-2], cuts[1:-1]):
+                yield from pairs(pa.Table.from_batches([*held, batch.slice(a, b - a)]))
+                held = []
+            held.append(batch.slice(cuts[-2]))
+        if held:
             yield from pairs(pa.Table.from_batches(held))
-            held = []
-        for a, b in zip(cuts[:-2], cuts[1:-1]):
-            yield from pairs(pa.Table.from_batches([*held, batch.slice(a, b - a)]))
-            held = []
-        held.append(batch.slice(cuts[-2]))
-    if held:
-        yield from pairs(pa.Table.from_batches(held))
+
+    return run
 
 
 def components(stage: Staging, links: DataFrame, name: str) -> DataFrame:
@@ -246,6 +267,22 @@ def _bound(a: str, b: str) -> F.Column:
     return (4 * F.least(na, nb) >= 3 * F.greatest(na, nb)) & (7 * most >= 3 * (na + nb))
 
 
+def _mixed(stage: Staging, tiles: DataFrame, sets: DataFrame, k: int) -> DataFrame:
+    """The rows for ``_tiles``: sets of tiles (key, g, rep, n, c) with several components, by size band and pair of blocks."""
+    tiles = stage.write(tiles, f"tiles{k}")
+    mixed = tiles.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo != hi").select("key")
+    rows = tiles.join(mixed, "key", "left_semi")
+    band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(4 / 3)) + 1e-9).cast("int")
+    rows = rows.withColumn("band", band).select("*", F.explode(F.array(F.lit(True), F.lit(False))).alias("own"))
+    rows = stage.write(rows.withColumn("band", F.when(F.col("own"), F.col("band")).otherwise(F.col("band") + 1)), f"rows{k}")
+    held = rows.groupBy("key", "band").agg(F.count(F.lit(1)).alias("m"), F.max("own").alias("some"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("m > 1 AND some AND lo != hi")
+    blocks = rows.join(held.select("key", "band", F.ceil(F.col("m") / BLOCK).cast("int").alias("nb")), ["key", "band"]).withColumn("blk", F.pmod(F.xxhash64("rep"), F.col("nb")).cast("int"))
+    blocks = blocks.join(sets.select("rep", "bits", "keys"), "rep").select("*", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("o"))
+    i, j = F.least("blk", "o"), F.greatest("blk", "o")
+    blocks = blocks.select("key", "band", i.alias("i"), j.alias("j"), "g", "rep", "n", "c", "own", (F.col("blk") == j).alias("second"), "bits", "keys")
+    return blocks.repartition("key", "band", "i", "j").sortWithinPartitions("key", "band", "i", "j")
+
+
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id."""
     spark, texts = docs.sparkSession, text_docs(docs)
@@ -255,43 +292,41 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     sets = stage.write(signed.join(reps.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("rep"), "n", "keys", "bits"), "sets", free=True)
 
     # tiles with two sets or more
-    each = sets.select("rep", "n", F.explode("keys").alias("key"))
+    each = sets.select("rep", "n", F.posexplode("keys").alias("g", "key"))
     shared = each.groupBy("key").agg(F.count(F.lit(1)).alias("sets"), F.min(F.struct("rep", "n")).alias("least")).where("sets > 1").select("key", "least")
-    tiles = stage.write(each.join(shared, "key").select("key", "rep", "n", F.col("least.rep").alias("head"), F.col("least.n").alias("head_n")), "tiles", free=True)
+    tiles = stage.write(each.join(shared, "key").select("key", "g", "rep", "n", F.col("least.rep").alias("head"), F.col("least.n").alias("head_n")), "tiles", free=True)
     # stars: of the sets that are least in a tile, the one met most often
     fits = (F.col("rep") != F.col("head")) & (4 * F.least("n", "head_n") >= 3 * F.greatest("n", "head_n"))
-    met = tiles.groupBy("rep", "head").agg(F.count(F.lit(1)).alias("met"), F.first(fits).alias("fits"))
-    best = met.groupBy("rep").agg(F.max(F.struct(F.col("fits"), F.col("met"), -F.col("head"))).alias("best"))
-    best = best.select("rep", F.when(F.col("best.fits"), -F.col("best.col3")).alias("head"))
-    known = texts.join(best.withColumnRenamed("rep", "doc_id"), "doc_id")
-    arrays = stage.write(known.select("doc_id", "text", "head").mapInArrow(_arrays, "rep long, head long, shingles array<long>"), "arrays", free=True)
-    lean = sets.select("rep", "n", "bits")
+    met = stage.write(tiles.groupBy("rep", "head").agg(F.count(F.lit(1)).alias("met"), F.first(fits).alias("fits")), "met")
+    best = met.groupBy("rep").agg(F.max(F.struct("fits", "met", (-F.col("head")).alias("head"))).alias("best"))
+    best = best.select(F.col("rep").alias("doc_id"), F.when(F.col("best.fits"), -F.col("best.head")).alias("head"))
+    known = texts.join(best, "doc_id").select("doc_id", "text", "head")
+    arrays = stage.write(known.mapInArrow(_arrays, "rep long, head long, shingles array<long>"), "arrays", free=True)
     star = arrays.where("head IS NOT NULL").alias("x").join(arrays.select(F.col("rep").alias("to"), F.col("shingles").alias("other")).alias("y"), F.col("x.head") == F.col("y.to"))
-    links = stage.write(star.select(F.col("rep").alias("a"), F.col("to").alias("b"), "shingles", "other").mapInArrow(_linked, "a long, b long"), "links1", free=True)
-    first = components(stage, links, "first")
-
-    # tiles that hold several components
-    label = tiles.select("key", "rep", "n").join(first.withColumnRenamed("v", "rep"), "rep", "left").select("key", "rep", "n", F.coalesce("c", "rep").alias("c"))
-    label = stage.write(label, "label")
-    mixed = label.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo != hi").select("key")
-    rows = label.join(mixed, "key", "left_semi").join(lean.select("rep", "bits"), "rep")
-    band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(4 / 3)) + 1e-9).cast("int")
-    rows = rows.withColumn("band", band).select("*", F.explode(F.array(F.lit(True), F.lit(False))).alias("own"))
-    rows = rows.withColumn("band", F.when(F.col("own"), F.col("band")).otherwise(F.col("band") + 1))
-    rows = stage.write(rows, "rows", free=True)
-    held = rows.groupBy("key", "band").agg(F.count(F.lit(1)).alias("m"), F.max("own").alias("some"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("m > 1 AND some AND lo != hi")
-    blocks = rows.join(held.select("key", "band", F.ceil(F.col("m") / BLOCK).cast("int").alias("nb")), ["key", "band"]).withColumn("blk", F.pmod(F.xxhash64("rep"), F.col("nb")).cast("int"))
-    blocks = blocks.select("*", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("o"))
-    i, j = F.least("blk", "o"), F.greatest("blk", "o")
-    blocks = blocks.select("key", "band", i.alias("i"), j.alias("j"), "rep", "n", "c", "own", (F.col("blk") == j).alias("second"), "bits")
-    blocks = blocks.repartition("key", "band", "i", "j").sortWithinPartitions("key", "band", "i", "j")
-    pairs = stage.write(blocks.mapInArrow(_tiles, "a long, b long").distinct(), "pairs", free=True)
-    some = stage.write(arrays.select("rep", "shingles").join(pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), "rep", "left_semi"), "some")
-    both = pairs.join(some.toDF("a", "x"), "a").join(some.toDF("b", "y"), "b").select("a", "b", "x", "y")
-    more = both.mapInArrow(_linked, "a long, b long")
-    links = stage.write(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).union(more).distinct(), "links2", free=True)
-    stage.drop("tiles", "arrays", "rows", "label", "some", "pairs")
-    found = components(stage, links, "all")
+    star = star.select(F.least("rep", "to").alias("a"), F.greatest("rep", "to").alias("b"), "shingles", "other")
+    links = stage.write(star.mapInArrow(_linked, "a long, b long"), "links0", free=True)
+    label = components(stage, links, "star")
+
+    # what tiles still hold of several components
+    def held_against(pairs: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
+        """Links with those of the pairs that are similar enough, and the components they make."""
+        pairs = stage.write(pairs.distinct(), f"pairs{k}", free=True)
+        some = stage.write(arrays.select("rep", "shingles").join(pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), "rep", "left_semi"), f"some{k}")
+        both = pairs.join(some.toDF("a", "x"), "a").join(some.toDF("b", "y"), "b").select("a", "b", "x", "y")
+        new = stage.write(links.unionByName(both.mapInArrow(_linked, "a long, b long")).distinct(), f"links{k}", free=True)
+        stage.drop(f"pairs{k}", f"some{k}")
+        return new, components(stage, new, f"labels{k}")
+
+    def labelled(df: DataFrame, column: str, name: str) -> DataFrame:
+        return df.join(label.toDF(column, name), column, "left").withColumn(name, F.coalesce(name, column))
+
+    far = labelled(labelled(met.where("fits").select("rep", "head"), "rep", "c"), "head", "d").where("c != d")
+    far = far.join(sets.select(F.col("rep"), F.struct("n", "bits").alias("x")), "rep").join(sets.select(F.col("rep").alias("head"), F.struct("n", "bits").alias("y")), "head").where(_bound("x", "y"))
+    links, label = held_against(far.select(F.least("rep", "head").alias("a"), F.greatest("rep", "head").alias("b")), 1)
+    for k in range(2, 2 + BEST_ROUNDS + 1):
+        links, label = held_against(_mixed(stage, labelled(tiles.select("key", "g", "rep", "n"), "rep", "c"), sets, k).mapInArrow(_tiles(k < 2 + BEST_ROUNDS), "a long, b long"), k)
+    stage.drop("tiles", "arrays", "met", "sets")
+    found = label
 
     member = reps.join(found.withColumnRenamed("v", "rep"), "rep", "left").select("id1", "id2", F.col("n").alias("m"), F.coalesce("c", "rep").alias("c"))
     out = signed.select("doc_id", "n", "id1", "id2").join(member.withColumnRenamed("m", "n"), ["id1", "id2", "n"], "left")
