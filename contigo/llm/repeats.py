@@ -14,8 +14,9 @@ first thinned by their leading tokens, without losing a match:
 3. ``repartitionByRange`` on (token, bytes) samples splitters and deals the runs to buckets in
    order. Each bucket sorts the heads of its suffixes by token, then fingerprint, and equal
    neighbours are repeats.
-4. Tokens that touch a bucket's edge, or are too many for one task's memory, are compared
-   across buckets: their heads' fingerprints are counted by a shuffle.
+4. Tokens that touch a bucket's edge, or have too many runs for one task's memory, are compared
+   across buckets: heads that are single so far, and one each of those that repeat, are dealt by
+   token and fingerprint in parts of some ``PART_HEADS``, and equal ones in a part are repeats.
 
 Fingerprints are 64-bit and only compared under one token. No task holds more than a bounded
 number of runs; a token with any number of runs is counted by the shuffle of step 4.
@@ -41,8 +42,9 @@ LENGTH = 400
 GRAM = 64
 #: Bytes hashed at once, runs compared at once, and runs of one token above which it is counted by a shuffle.
 CHUNK_BYTES = 400_000
-CHUNK_RUNS = 8_000
-MOST_RUNS = 8_000
+CHUNK_RUNS = 2_000
+MOST_RUNS = 4_000
+PART_HEADS = 20_000
 
 _rng = np.random.default_rng(10)
 _BYTE = _rng.integers(0, 1 << 64, 256, np.uint64, endpoint=False)
@@ -144,26 +146,26 @@ def _bytes_of_runs(length: int):
         held: dict[tuple[int, bytes], list] = {}
 
         def flush() -> pa.RecordBatch:
-            rows = [(t, int.from_bytes(mark, "little", signed=True), x[0], x[1], x[2]) for (t, mark), x in held.items()]
+            rows = [(t, int.from_bytes(mark, "little", signed=True), *x) for (t, mark), x in held.items()]
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32())))], ["token", "mark", "bytes", "docs", "firsts"])
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.int64()))], ["token", "mark", "bytes", "docs", "firsts", "n"])
 
         size = 0
         for batch in batches:
             for doc_id, text, runs in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
                 data = text.as_buffer().to_pybytes()
                 flat = runs.values
-                for token, first, last in zip(*(flat.field(k).to_pylist() for k in range(3))):
+                for token, first, last, n in zip(*(flat.field(k).to_pylist() for k in range(4))):
                     part = data[first : last + length]
                     key = (token, hashlib.blake2b(part, digest_size=8).digest())
                     if (x := held.get(key)) is None:
-                        held[key] = [part, [doc_id], [first]]
+                        held[key] = [part, [doc_id], [first], n]
                         size += len(part) + 200
                     else:
                         x[1].append(doc_id)
                         x[2].append(first)
                         size += 16
-            if size > 48_000_000:
+            if size > 16_000_000:
                 yield flush()
                 size = 0
         if held:
@@ -178,14 +180,20 @@ def _union(starts: np.ndarray, length: int) -> tuple[list[int], list[int]]:
     return starts[np.concatenate([[0], cut + 1])].tolist(), (starts[np.concatenate([cut, [len(starts) - 1]])] + length).tolist()
 
 
-_OUT = "token long, mark long, head long, at int, n int, docs array<long>, firsts array<int>, starts array<int>, ends array<int>"
-_OUT_TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int32())]
+_OUT = "token long, mark long, part int, heads array<long>, marks array<long>, ats array<int>, docs array<long>, firsts array<int>, starts array<int>, ends array<int>"
+_LONGS, _INTS = pa.list_(pa.int64()), pa.list_(pa.int32())
+_OUT_TYPES = [pa.int64(), pa.int64(), pa.int32(), _LONGS, _LONGS, _INTS, _LONGS, _INTS, _INTS, _INTS]
 _OUT_NAMES = [x.split()[0] for x in _OUT.split(", ")]
 
 
-def _compare(length: int, most_runs: int):
+def _part_bits(runs: int, part_heads: int) -> int:
+    """Bits of a head's fingerprint that deal the heads of a token with so many runs, for some part_heads in each part."""
+    return max(0, int(runs * 170 // part_heads).bit_length())
+
+
+def _compare(length: int, most_runs: int, part_heads: int):
     """Step 3, over a bucket in order of token. Rows out: (docs, firsts, starts, ends) of repeats found here;
-    and for step 4 (token, mark, docs, firsts) of runs and (token, mark, head, at, n) of their heads."""
+    and for step 4 (token, mark, docs, firsts) of runs and (token, part, heads, marks, ats) of their heads."""
 
     def heads(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Fingerprint, run and place of each head."""
@@ -200,8 +208,8 @@ def _compare(length: int, most_runs: int):
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _OUT_TYPES)], _OUT_NAMES)
 
-    def local(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-        """rows: all runs of some tokens."""
+    def local(rows: list[tuple], all_here: bool = True) -> Iterator[pa.RecordBatch]:
+        """rows: all runs of some tokens, or (not all_here) some runs of one token, which others may hold too."""
         h, run, at = heads([r[2] for r in rows])
         token, n = np.array([r[0] for r in rows]), np.array([len(r[3]) for r in rows])
         key = token[run]
@@ -215,20 +223,29 @@ def _compare(length: int, most_runs: int):
         some = np.add.reduceat(again, bounds[:-1]) > 0
         for k in np.flatnonzero(some):
             s, e = _union(at[bounds[k] : bounds[k + 1]][again[bounds[k] : bounds[k + 1]]], length)
-            out.append((None, None, None, None, None, rows[k][3], rows[k][4], s, e))
+            out.append((None, None, None, None, None, None, rows[k][3], rows[k][4], s, e))
         if out:
             yield batch_of(out)
-
-    def abroad(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-        """rows: some runs of a token that is to be counted by a shuffle."""
-        yield batch_of([(t, mark, None, None, None, docs, firsts, None, None) for t, mark, _, docs, firsts in rows])
-        for k in range(0, len(rows), 500):
-            some = rows[k : k + 500]
-            h, run, at = heads([r[2] for r in some])
-            n, none = len(h), None
-            pick = lambda j, t: pa.array(np.array([r[j] for r in some], np.int64)[run], t)  # noqa: B023, E731
-            count = np.array([len(r[3]) for r in some], np.int32)[run]
-            yield pa.RecordBatch.from_arrays([pick(0, pa.int64()), pick(1, pa.int64()), pa.array(h.view(np.int64)), pa.array(at.astype(np.int32)), pa.array(count), *[pa.nulls(n, t) for t in _OUT_TYPES[5:]]], _OUT_NAMES)
+        if all_here:
+            return
+        # for step 4: heads that are single so far, with their runs, and repeats found here once each, with place -1
+        first = order[new]
+        known, single = first[again[first]], np.flatnonzero(~again)
+        alone = [rows[k] for k in np.unique(run[single])]
+        if alone:
+            yield batch_of([(r[0], r[1], None, None, None, None, r[3], r[4], None, None) for r in alone])
+        marks, bits = np.array([r[1] for r in rows], np.int64), _part_bits(rows[0][5], part_heads)
+        pick = np.concatenate([single, known])
+        place = np.concatenate([at[single], np.full(len(known), -1)])
+        part = (h[pick] >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(pick), np.int64)
+        order = np.argsort(part, kind="stable")
+        pick, place, part = pick[order], place[order].astype(np.int32), part[order]
+        cuts = np.flatnonzero(np.diff(part, prepend=-1))
+        ends = np.append(cuts, len(part)).astype(np.int32)
+        lists = lambda x: pa.ListArray.from_arrays(pa.array(ends), pa.array(x))
+        m = len(cuts)
+        if m:
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(m, rows[0][0])), pa.nulls(m, pa.int64()), pa.array(part[cuts].astype(np.int32)), lists(h[pick].view(np.int64)), lists(marks[run[pick]]), lists(place), *[pa.nulls(m, t) for t in _OUT_TYPES[6:]]], _OUT_NAMES)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: list[tuple] = []  # whole tokens
@@ -240,14 +257,14 @@ def _compare(length: int, most_runs: int):
                     first_token = sent = row[0]
                 if last and last[-1][0] != row[0]:
                     if last[0][0] == sent:
-                        yield from abroad(last)
+                        yield from local(last, False)
                     else:
                         done += last
                     last = []
                 last.append(row)
                 if len(last) > most_runs:
                     sent = row[0]
-                    yield from abroad(last)
+                    yield from local(last, False)
                     last = []
                 if len(done) > CHUNK_RUNS:
                     yield from local(done)
@@ -255,31 +272,60 @@ def _compare(length: int, most_runs: int):
         if done:
             yield from local(done)
         if last:
-            yield from abroad(last)
+            yield from local(last, False)
 
     return run
 
 
-def repeat_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most_runs: int = MOST_RUNS) -> DataFrame:
+def _across(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Step 4: rows (token, part, heads, marks, ats) in order of (token, part) to (token, mark, ats) of heads that repeat."""
+
+    def repeats(token: int, rows: list) -> Iterator[pa.RecordBatch]:
+        head, mark, at = (np.concatenate([r[k] for r in rows]) for k in range(3))
+        order = np.argsort(head, kind="stable")
+        head, mark, at = head[order], mark[order], at[order]
+        same = head[1:] == head[:-1]
+        again = (np.append(same, False) | np.append(False, same)) & (at >= 0)
+        if again.any():
+            mark, at = mark[again], at[again]
+            order = np.argsort(mark, kind="stable")
+            mark, at = mark[order], at[order]
+            cuts = np.flatnonzero(np.concatenate([[True], mark[1:] != mark[:-1]]))
+            ats = pa.ListArray.from_arrays(pa.array(np.append(cuts, len(at)).astype(np.int32)), pa.array(at))
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(cuts), token)), pa.array(mark[cuts]), ats], ["token", "mark", "ats"])
+
+    group, rows = None, []
+    for batch in batches:
+        lists = [(c.offsets.to_numpy(), c.values.to_numpy()) for c in (batch.column(k) for k in (2, 3, 4))]
+        for k, key in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+            if key != group:
+                if rows:
+                    yield from repeats(group[0], rows)
+                group, rows = key, []
+            rows.append([v[o[k] : o[k + 1]] for o, v in lists])
+    if rows:
+        yield from repeats(group[0], rows)
+
+
+def repeat_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most_runs: int = MOST_RUNS, part_heads: int = PART_HEADS) -> DataFrame:
     """doc_id, spans array<struct<start, end>> of bytes that repeats cover (not merged, not in order); documents without any have no row."""
     spark, texts = docs.sparkSession, text_docs(docs)
     stage = Staging(spark, "repeats")
     runs = stage.write(texts.mapInArrow(_runs(length, gram), "token long, doc_id long, first int, last int, twice boolean"), "runs")
-    again = runs.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.max("twice").alias("twice")).where("n > 1 OR twice").select("token")
-    kept = runs.join(again, "token", "left_semi").groupBy("doc_id").agg(F.collect_list(F.struct("token", "first", "last")).alias("runs"))
+    again = runs.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.max("twice").alias("twice")).where("n > 1 OR twice").select("token", "n")
+    kept = runs.join(again, "token").groupBy("doc_id").agg(F.collect_list(F.struct("token", "first", "last", "n")).alias("runs"))
     fetched = texts.join(kept, "doc_id").select("doc_id", F.col("text").cast("binary").alias("text"), "runs")
-    parts = stage.write(fetched.mapInArrow(_bytes_of_runs(length), "token long, mark long, bytes binary, docs array<long>, firsts array<int>"), "parts", free=True)
+    parts = stage.write(fetched.mapInArrow(_bytes_of_runs(length), "token long, mark long, bytes binary, docs array<long>, firsts array<int>, n long"), "parts", free=True)
     stage.drop("runs")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = parts.repartitionByRange(n, "token", "mark").sortWithinPartitions("token")
-    found = stage.write(buckets.mapInArrow(_compare(length, most_runs), _OUT), "found", free=True)
+    found = stage.write(buckets.mapInArrow(_compare(length, most_runs, part_heads), _OUT), "found", free=True)
     stage.drop("parts")
 
     here = found.where("token IS NULL").select(F.arrays_zip("docs", "firsts").alias("m"), F.arrays_zip("starts", "ends").alias("s"))
-    heads = found.where("head IS NOT NULL").select("token", "mark", "head", "at", "n")
-    twice = heads.groupBy("token", "head").agg(F.sum("n").alias("n")).where("n > 1").select("token", "head")
-    across = heads.join(twice, ["token", "head"]).groupBy("token", "mark").agg(F.collect_set("at").alias("ats"))
-    members = found.where("token IS NOT NULL AND head IS NULL").select("token", "mark", F.arrays_zip("docs", "firsts").alias("m"))
+    heads = found.where("part IS NOT NULL").select("token", "part", "heads", "marks", "ats").repartition("token", "part").sortWithinPartitions("token", "part")
+    across = heads.mapInArrow(_across, "token long, mark long, ats array<int>").groupBy("token", "mark").agg(F.flatten(F.collect_list("ats")).alias("ats"))
+    members = found.where("token IS NOT NULL AND part IS NULL").select("token", "mark", F.arrays_zip("docs", "firsts").alias("m"))
     across = members.join(across, ["token", "mark"]).select("m", F.transform("ats", lambda x: F.struct(x.alias("starts"), (x + length).alias("ends"))).alias("s"))
     each = here.unionByName(across).select(F.explode("m").alias("m"), "s")
     shift = F.transform("s", lambda x: F.struct((x["starts"] + F.col("m.firsts")).alias("start"), (x["ends"] + F.col("m.firsts")).alias("end")))
@@ -320,9 +366,9 @@ def _removed(keep_bytes: bool):
     return run
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, keep_bytes: bool = True, most_runs: int = MOST_RUNS) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, keep_bytes: bool = True, most_runs: int = MOST_RUNS, part_heads: int = PART_HEADS) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and (keep_bytes) kept: the bytes that stay."""
-    spans = repeat_spans(docs, length, most_runs=most_runs)
+    spans = repeat_spans(docs, length, most_runs=most_runs, part_heads=part_heads)
     both = text_docs(docs).join(spans, "doc_id", "left").select("doc_id", F.col("text").cast("binary").alias("text"), "spans")
     return both.mapInArrow(_removed(keep_bytes), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * keep_bytes)
 

@@ -22,8 +22,8 @@ def brute(texts, length):
     return out
 
 
-@pytest.mark.parametrize("most", [8000, 3])
-def test_against_brute_force(spark, most):
+@pytest.mark.parametrize("most, heads", [(8000, 100_000), (3, 150)])
+def test_against_brute_force(spark, most, heads):
     rng = random.Random(7)
     word = lambda: "".join(rng.choice("abcdé") for _ in range(rng.randint(1, 7)))
     prose = lambda n: " ".join(word() for _ in range(n))
@@ -33,7 +33,7 @@ def test_against_brute_force(spark, most):
         texts.append(prose(rng.randint(0, 200)) + passage[: rng.choice([300, 399, 420, 520])] + prose(rng.randint(0, 60)))
         texts.append(prose(30) + passage[rng.randint(0, 60) :] + prose(rng.randint(0, 3)))
     df = spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], "doc_id long, text string, token string")
-    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in repeats.remove_repeats(df, keep_bytes=False, most_runs=most).collect()}
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in repeats.remove_repeats(df, keep_bytes=False, most_runs=most, part_heads=heads).collect()}
     want = brute(texts, repeats.LENGTH)
     assert [got[i] for i in range(len(texts))] == want
     assert sum(w[1] > 0 for w in want) > 10
