@@ -58,6 +58,12 @@ def _drop_all() -> None:
 atexit.register(_drop_all)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark's cleaner delete shuffle files whose plans nobody holds any more: it works by garbage collection."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 class Staging:
     """Tables written to the shared folder. They cut lineage and survive a lost executor.
 
@@ -69,14 +75,16 @@ class Staging:
         self.spark, self.root = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
         _folders[self.root] = spark
 
-    def write(self, df: DataFrame, name: str, free: bool = False) -> DataFrame:
-        """Write a table and return its reader. free: also let Spark delete shuffle files nobody needs any more."""
+    def write(self, df: DataFrame, name: str, free: bool = False, few: bool = False) -> DataFrame:
+        """Write a table and return its reader. free: also let Spark delete shuffle files nobody needs any more.
+        few: a table of few columns, for which two tasks and files a core are enough."""
         path, schema = f"{self.root}/{name}", df.schema
+        if few:
+            df = df.coalesce(2 * self.spark.sparkContext.defaultParallelism)
         df.write.mode("overwrite").option("compression", "zstd").parquet(path)
         if free:
             del df
-            gc.collect()
-            self.spark._jvm.System.gc()
+            free_shuffles(self.spark)
         return self.spark.read.schema(schema).parquet(path)
 
     def drop(self, *names: str) -> None:

@@ -33,10 +33,11 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Staging, read_table, text_docs
+from .common import free_shuffles, read_table, text_docs
 
 LENGTH = 400
 GRAM = 64
@@ -46,6 +47,10 @@ CHUNK_RUNS = 2_000
 MOST_RUNS = 4_000
 PART_HEADS = 20_000
 
+#: The last call's table of repeats stays on disk, as its result is lazy; the one before is given up.
+KEPT_RESULTS = 1
+_found: list[DataFrame] = []
+
 _rng = np.random.default_rng(10)
 _BYTE = _rng.integers(0, 1 << 64, 256, np.uint64, endpoint=False)
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -310,17 +315,27 @@ def _across(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repeat_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most_runs: int = MOST_RUNS, part_heads: int = PART_HEADS) -> DataFrame:
     """doc_id, spans array<struct<start, end>> of bytes that repeats cover (not merged, not in order); documents without any have no row."""
     spark, texts = docs.sparkSession, text_docs(docs)
-    stage = Staging(spark, "repeats")
-    runs = stage.write(texts.mapInArrow(_runs(length, gram), "token long, doc_id long, first int, last int, twice boolean"), "runs")
+    # Tables that are read more than once are kept on the executors' disks; what a lost executor held is made again from the texts.
+    keep = lambda df: df.persist(StorageLevel.DISK_ONLY)
+    runs = keep(texts.mapInArrow(_runs(length, gram), "token long, doc_id long, first int, last int, twice boolean"))
     again = runs.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.max("twice").alias("twice")).where("n > 1 OR twice").select("token", "n")
     kept = runs.join(again, "token").groupBy("doc_id").agg(F.collect_list(F.struct("token", "first", "last", "n")).alias("runs"))
-    fetched = texts.join(kept, "doc_id").select("doc_id", F.col("text").cast("binary").alias("text"), "runs")
-    parts = stage.write(fetched.mapInArrow(_bytes_of_runs(length), "token long, mark long, bytes binary, docs array<long>, firsts array<int>, n long"), "parts", free=True)
-    stage.drop("runs")
+    fetched = texts.join(kept.hint("merge"), "doc_id").select("doc_id", F.col("text").cast("binary").alias("text"), "runs")
+    parts = keep(fetched.mapInArrow(_bytes_of_runs(length), "token long, mark long, bytes binary, docs array<long>, firsts array<int>, n long"))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = parts.repartitionByRange(n, "token", "mark").sortWithinPartitions("token")
-    found = stage.write(buckets.mapInArrow(_compare(length, most_runs, part_heads), _OUT), "found", free=True)
-    stage.drop("parts")
+    buckets = parts.repartitionByRange(n, "token", "mark").sortWithinPartitions("token")  # samples the parts, so they are made here
+    found = keep(buckets.mapInArrow(_compare(length, most_runs, part_heads), _OUT))
+    found.count()
+    runs.unpersist()
+    parts.unpersist()
+    _found.append(found)
+    for old in _found[:-KEPT_RESULTS]:
+        try:
+            old.unpersist()
+        except Exception:  # noqa: BLE001  its session has ended, and its blocks with it
+            pass
+    del _found[:-KEPT_RESULTS], runs, again, kept, fetched, parts, buckets
+    free_shuffles(spark)
 
     here = found.where("token IS NULL").select(F.arrays_zip("docs", "firsts").alias("m"), F.arrays_zip("starts", "ends").alias("s"))
     heads = found.where("part IS NOT NULL").select("token", "part", "heads", "marks", "ats").repartition("token", "part").sortWithinPartitions("token", "part")
