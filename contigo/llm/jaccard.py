@@ -3,7 +3,7 @@
 Words are runs of other characters than ASCII white space, A-Z in lower case. Shingles are
 64-bit hashes of five words. The join runs in tiles of documents of like size:
 
-1. Signatures. Each document gets the size of its set, a 2048-bit hashed bitmap of it, and 64
+1. Signatures. Each document gets the size of its set, a 1024-bit hashed bitmap of it, and 64
    tile keys: every key hashes four bins of a 256-bin min-wise sketch (fast similarity
    sketching), so two documents at similarity 0.75 share none of the 64 with a chance of
    about (1 - 0.75**4)**64 = 3e-11, far less above it. Documents with equal sets are one
@@ -43,13 +43,13 @@ from .common import Staging, read_table, text_docs
 from .repeats import CHUNK_BYTES, _buffers, _groups, _power, _sums
 
 WORDS = 5
-BINS, PER_KEY, BITS = 256, 4, 2048
+BINS, PER_KEY, BITS = 256, 4, 1024
 KEYS = BINS // PER_KEY
 #: Rounds in which an element picks its bin; in the next ones, bins not yet filled take the least of all elements.
 ROUNDS = 48
 BLOCK = 2048
 #: Rounds in which a set of a mixed tile is held against its likeliest partner only, before all are.
-BEST_ROUNDS = 2
+BEST_ROUNDS = 1
 
 _rng = np.random.default_rng(5)
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -148,7 +148,7 @@ def _signatures(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 parts = (sketches(elements, starts) * _GROUP).reshape(len(some), KEYS, PER_KEY).sum(axis=2, dtype=np.uint64)
                 keys[some] = _mix(parts + np.arange(KEYS, dtype=np.uint64))
                 marked = np.zeros(len(some) * BITS, bool)
-                marked[np.repeat(np.arange(len(some)), sizes[some]) * BITS + (elements >> np.uint64(53)).astype(np.int64)] = True
+                marked[np.repeat(np.arange(len(some)), sizes[some]) * BITS + (elements >> np.uint64(54)).astype(np.int64)] = True
                 bits[some] = np.packbits(marked.reshape(len(some), BITS), axis=1).view(np.int64)
             lists = lambda x: pa.ListArray.from_arrays(pa.array(np.arange(b - a + 1, dtype=np.int32) * x.shape[1]), pa.array(x.view(np.int64).ravel()))  # noqa: B023, E731
             yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), pa.array(sizes), pa.array(id1.view(np.int64)), pa.array(id2.view(np.int64)), lists(keys), lists(bits)], ["doc_id", "n", "id1", "id2", "keys", "bits"])
@@ -181,15 +181,14 @@ def _linked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _tiles(best_only: bool):
-    """Rows (key, band, i, j, g, rep, n, c, own, second, bits, keys) in order of (key, band, i, j) to pairs (a, b)
-    of different components that bit counts can't rule out; best_only: for each set, its likeliest partner in the tile.
-    A pair that meets in several tiles counts in that of the first key it shares."""
+    """Rows (key, band, i, j, rep, n, c, own, second, bits) in order of (key, band, i, j) to pairs (a, b)
+    of different components that bit counts can't rule out; best_only: for each set, its likeliest partner in the tile."""
 
     def pairs(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         tile = rows.combine_chunks().to_batches()[0]
-        i, j, g = (tile.column(k)[0].as_py() for k in (2, 3, 4))
-        rep, n, c, own, second = (tile.column(k).to_numpy(zero_copy_only=False) for k in range(5, 10))
-        bits, keys = (tile.column(k).flatten().to_numpy().reshape(len(rep), -1) for k in (10, 11))
+        i, j = (tile.column(k)[0].as_py() for k in (2, 3))
+        rep, n, c, own, second = (tile.column(k).to_numpy(zero_copy_only=False) for k in range(4, 9))
+        bits = tile.column(9).flatten().to_numpy().reshape(len(rep), -1)
         left = np.arange(len(rep)) if i == j else np.flatnonzero(~second)
         right = left if i == j else np.flatnonzero(second)
         best = np.zeros(len(rep), np.int64)
@@ -202,8 +201,6 @@ def _tiles(best_only: bool):
             u, v = np.nonzero(ok)
             for at in range(0, len(u), 20_000):
                 a, b = p[u[at : at + 20_000]], right[v[at : at + 20_000]]
-                new = (keys[a, :g] != keys[b, :g]).all(axis=1)
-                a, b = a[new], b[new]
                 only_a = np.bitwise_count(bits[a] & ~bits[b]).sum(axis=1, dtype=np.int64)
                 only_b = np.bitwise_count(bits[b] & ~bits[a]).sum(axis=1, dtype=np.int64)
                 most = np.minimum(n[a] - only_a, n[b] - only_b)
@@ -243,15 +240,16 @@ def _tiles(best_only: bool):
 
 def components(stage: Staging, links: DataFrame, name: str) -> DataFrame:
     """(v, c): the least vertex that each vertex of links (a, b) reaches. Labels take their neighbours' least, then their label's label, until nothing changes."""
-    edges = stage.write(links.select("a", "b").union(links.select("b", "a")).distinct(), f"{name}-edges")
-    labels = stage.write(edges.groupBy(F.col("a").alias("v")).agg(F.least(F.min("b"), F.first("a")).alias("c")), f"{name}-labels0")
+    both = F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))  # one pass over the links
+    edges = stage.write(links.select(both.alias("e")).select("e.*").distinct(), f"{name}-edges", few=True)
+    labels = stage.write(edges.groupBy(F.col("a").alias("v")).agg(F.least(F.min("b"), F.first("a")).alias("c")), f"{name}-labels0", few=True)
     k = 0
     while True:
         k += 1
         near = edges.join(labels.withColumnsRenamed({"v": "b"}), "b").groupBy(F.col("a").alias("v")).agg(F.min("c").alias("m"))
         step = labels.join(near, "v").select("v", "c", F.least("c", "m").alias("m"))
         jump = labels.select(F.col("v").alias("m"), F.col("c").alias("up"))
-        new = stage.write(step.join(jump, "m", "left").select("v", F.coalesce("up", "m").alias("c"), (F.coalesce("up", "m") != F.col("c")).alias("moved")), f"{name}-labels{k}")
+        new = stage.write(step.join(jump, "m", "left").select("v", F.coalesce("up", "m").alias("c"), (F.coalesce("up", "m") != F.col("c")).alias("moved")), f"{name}-labels{k}", few=True)
         moved = new.where("moved").limit(1).count()
         stage.drop(f"{name}-labels{k - 1}")
         labels = new.drop("moved")
@@ -268,18 +266,18 @@ def _bound(a: str, b: str) -> F.Column:
 
 
 def _mixed(stage: Staging, tiles: DataFrame, sets: DataFrame, k: int) -> DataFrame:
-    """The rows for ``_tiles``: sets of tiles (key, g, rep, n, c) with several components, by size band and pair of blocks."""
-    tiles = stage.write(tiles, f"tiles{k}")
+    """The rows for ``_tiles``: sets of tiles (key, rep, n, c) with several components, by size band and pair of blocks."""
+    tiles = stage.write(tiles, f"tiles{k}", few=True)
     mixed = tiles.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo != hi").select("key")
     rows = tiles.join(mixed, "key", "left_semi")
     band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(4 / 3)) + 1e-9).cast("int")
     rows = rows.withColumn("band", band).select("*", F.explode(F.array(F.lit(True), F.lit(False))).alias("own"))
-    rows = stage.write(rows.withColumn("band", F.when(F.col("own"), F.col("band")).otherwise(F.col("band") + 1)), f"rows{k}")
+    rows = stage.write(rows.withColumn("band", F.when(F.col("own"), F.col("band")).otherwise(F.col("band") + 1)), f"rows{k}", few=True)
     held = rows.groupBy("key", "band").agg(F.count(F.lit(1)).alias("m"), F.max("own").alias("some"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("m > 1 AND some AND lo != hi")
     blocks = rows.join(held.select("key", "band", F.ceil(F.col("m") / BLOCK).cast("int").alias("nb")), ["key", "band"]).withColumn("blk", F.pmod(F.xxhash64("rep"), F.col("nb")).cast("int"))
-    blocks = blocks.join(sets.select("rep", "bits", "keys"), "rep").select("*", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("o"))
+    blocks = blocks.join(sets.select("rep", "bits"), "rep").select("*", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("o"))
     i, j = F.least("blk", "o"), F.greatest("blk", "o")
-    blocks = blocks.select("key", "band", i.alias("i"), j.alias("j"), "g", "rep", "n", "c", "own", (F.col("blk") == j).alias("second"), "bits", "keys")
+    blocks = blocks.select("key", "band", i.alias("i"), j.alias("j"), "rep", "n", "c", "own", (F.col("blk") == j).alias("second"), "bits")
     return blocks.repartition("key", "band", "i", "j").sortWithinPartitions("key", "band", "i", "j")
 
 
@@ -288,48 +286,53 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     spark, texts = docs.sparkSession, text_docs(docs)
     stage = Staging(spark, "jaccard")
     signed = stage.write(texts.mapInArrow(_signatures, "doc_id long, n long, id1 long, id2 long, keys array<long>, bits array<long>"), "signed")
-    reps = signed.where("n > 0").groupBy("id1", "id2", "n").agg(F.min("doc_id").alias("rep"))
-    sets = stage.write(signed.join(reps.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("rep"), "n", "keys", "bits"), "sets", free=True)
+    ids = stage.write(signed.select("doc_id", "n", "id1", "id2"), "ids", few=True)
+    reps = ids.where("n > 0").groupBy("id1", "id2", "n").agg(F.min("doc_id").alias("rep"))
+    sets = stage.write(signed.join(reps.select(F.col("rep").alias("doc_id")).distinct().hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("rep"), "n", "keys", "bits"), "sets", free=True)
+    stage.drop("signed")
 
     # tiles with two sets or more
-    each = sets.select("rep", "n", F.posexplode("keys").alias("g", "key"))
+    each = sets.select("rep", "n", F.explode("keys").alias("key"))
     shared = each.groupBy("key").agg(F.count(F.lit(1)).alias("sets"), F.min(F.struct("rep", "n")).alias("least")).where("sets > 1").select("key", "least")
-    tiles = stage.write(each.join(shared, "key").select("key", "g", "rep", "n", F.col("least.rep").alias("head"), F.col("least.n").alias("head_n")), "tiles", free=True)
+    tiles = stage.write(each.join(shared, "key").select("key", "rep", "n", F.col("least.rep").alias("head"), F.col("least.n").alias("head_n")), "tiles", free=True)
     # stars: of the sets that are least in a tile, the one met most often
     fits = (F.col("rep") != F.col("head")) & (4 * F.least("n", "head_n") >= 3 * F.greatest("n", "head_n"))
-    met = stage.write(tiles.groupBy("rep", "head").agg(F.count(F.lit(1)).alias("met"), F.first(fits).alias("fits")), "met")
+    met = stage.write(tiles.groupBy("rep", "head").agg(F.count(F.lit(1)).alias("met"), F.first(fits).alias("fits")), "met", few=True)
     best = met.groupBy("rep").agg(F.max(F.struct("fits", "met", (-F.col("head")).alias("head"))).alias("best"))
     best = best.select(F.col("rep").alias("doc_id"), F.when(F.col("best.fits"), -F.col("best.head")).alias("head"))
-    known = texts.join(best, "doc_id").select("doc_id", "text", "head")
+    known = texts.join(best.hint("merge"), "doc_id").select("doc_id", "text", "head")
     arrays = stage.write(known.mapInArrow(_arrays, "rep long, head long, shingles array<long>"), "arrays", free=True)
     star = arrays.where("head IS NOT NULL").alias("x").join(arrays.select(F.col("rep").alias("to"), F.col("shingles").alias("other")).alias("y"), F.col("x.head") == F.col("y.to"))
     star = star.select(F.least("rep", "to").alias("a"), F.greatest("rep", "to").alias("b"), "shingles", "other")
-    links = stage.write(star.mapInArrow(_linked, "a long, b long"), "links0", free=True)
+    links = star.mapInArrow(_linked, "a long, b long")
+    every = met.select("rep").distinct()
     label = components(stage, links, "star")
+    label = stage.write(every.join(label.toDF("rep", "c"), "rep", "left").select("rep", F.coalesce("c", "rep").alias("c")), "label0", few=True)
 
     # what tiles still hold of several components
-    def held_against(pairs: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
-        """Links with those of the pairs that are similar enough, and the components they make."""
-        pairs = stage.write(pairs.distinct(), f"pairs{k}", free=True)
-        some = stage.write(arrays.select("rep", "shingles").join(pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), "rep", "left_semi"), f"some{k}")
+    def held_against(label: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
+        """The components that the pairs that are similar enough make of the labelled ones."""
+        pairs = stage.write(pairs.distinct(), f"pairs{k}", free=True, few=True)
+        some = arrays.select("rep", "shingles").join(pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), "rep", "left_semi")
         both = pairs.join(some.toDF("a", "x"), "a").join(some.toDF("b", "y"), "b").select("a", "b", "x", "y")
-        new = stage.write(links.unionByName(both.mapInArrow(_linked, "a long, b long")).distinct(), f"links{k}", free=True)
-        stage.drop(f"pairs{k}", f"some{k}")
-        return new, components(stage, new, f"labels{k}")
-
-    def labelled(df: DataFrame, column: str, name: str) -> DataFrame:
-        return df.join(label.toDF(column, name), column, "left").withColumn(name, F.coalesce(name, column))
-
-    far = labelled(labelled(met.where("fits").select("rep", "head"), "rep", "c"), "head", "d").where("c != d")
+        new = both.mapInArrow(_linked, "a long, b long").join(label.toDF("a", "ca"), "a").join(label.toDF("b", "cb"), "b")
+        edges = stage.write(new.where("ca != cb").select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct(), f"new{k}", free=True, few=True)
+        if not edges.limit(1).count():
+            return label
+        up = components(stage, edges, f"joined{k}")
+        return stage.write(label.join(up.toDF("c", "up"), "c", "left").select("rep", F.coalesce("up", "c").alias("c")), f"label{k}", few=True)
+
+    far = met.where("fits").select("rep", "head").join(label, "rep").join(label.toDF("head", "d"), "head").where("c != d")
     far = far.join(sets.select(F.col("rep"), F.struct("n", "bits").alias("x")), "rep").join(sets.select(F.col("rep").alias("head"), F.struct("n", "bits").alias("y")), "head").where(_bound("x", "y"))
-    links, label = held_against(far.select(F.least("rep", "head").alias("a"), F.greatest("rep", "head").alias("b")), 1)
+    label = held_against(label, far.select(F.least("rep", "head").alias("a"), F.greatest("rep", "head").alias("b")), 1)
     for k in range(2, 2 + BEST_ROUNDS + 1):
-        links, label = held_against(_mixed(stage, labelled(tiles.select("key", "g", "rep", "n"), "rep", "c"), sets, k).mapInArrow(_tiles(k < 2 + BEST_ROUNDS), "a long, b long"), k)
+        rows = _mixed(stage, tiles.select("key", "rep", "n").join(label, "rep"), sets, k)
+        label = held_against(label, rows.mapInArrow(_tiles(k < 2 + BEST_ROUNDS), "a long, b long"), k)
     stage.drop("tiles", "arrays", "met", "sets")
-    found = label
+    found = label.toDF("v", "c")
 
     member = reps.join(found.withColumnRenamed("v", "rep"), "rep", "left").select("id1", "id2", F.col("n").alias("m"), F.coalesce("c", "rep").alias("c"))
-    out = signed.select("doc_id", "n", "id1", "id2").join(member.withColumnRenamed("m", "n"), ["id1", "id2", "n"], "left")
+    out = ids.join(member.withColumnRenamed("m", "n"), ["id1", "id2", "n"], "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("c", "doc_id").alias("component_id"))
 
 
