@@ -9,8 +9,9 @@ Learning (``learn``):
 2. Tokens in four toxic sample texts or more are candidates (``CANDIDATES`` at most, the most
    frequent ones). One pass over all documents counts how many texts hold each: these
    corpus counts are the Dirichlet prior of the log-odds ratio of toxic and other texts.
-3. Tokens whose log-odds are ``LEAST_Z`` standard errors above 0 score their log-odds, all
-   others nothing; every token also costs ``DRIFT``.
+3. Tokens whose log-odds are at least ``LEAST_ODDS``, and ``LEAST_Z`` standard errors above 0, score
+   their log-odds, all others nothing (in a large sample toxic texts' mere length makes small
+   log-odds significant); every token also costs ``DRIFT``.
 
 Scoring (``find_passages``): the linear-time scan of Ruzzo and Tompa gives all maximal
 scoring segments of a text. Under the null model (tokens drawn with their rates in texts
@@ -43,6 +44,7 @@ SAMPLE = 20_000
 CANDIDATES = 65_536
 LEAST_TEXTS = 4
 LEAST_Z = 3.5
+LEAST_ODDS = 2.0
 DRIFT = 0.02
 PRIOR = 10.0
 LEVEL = 0.05
@@ -282,7 +284,7 @@ def learn(docs: DataFrame, labels: DataFrame, allowed: Column, sample: int = SAM
         prior = PRIOR * (every + 0.01) / (n_every + 1)
         odds = np.log((y1 + prior) / (n1 + PRIOR - y1 - prior)) - np.log((y0 + prior) / (n0 + PRIOR - y0 - prior))
         z = odds / np.sqrt(1 / (y1 + prior) + 1 / (y0 + prior))
-        take = z >= LEAST_Z
+        take = (z >= LEAST_Z) & (odds >= LEAST_ODDS)
         model = Model(keys[take], odds[take])
         model.rate = _null_rate((y0[take] + prior[take]) / max(words0, 1) / (1 + len(BEGINNINGS)), odds[take])
         shared = spark.sparkContext.broadcast(model)
@@ -291,7 +293,10 @@ def learn(docs: DataFrame, labels: DataFrame, allowed: Column, sample: int = SAM
         got = got.union(pick(held, False).mapInArrow(_scored(shared), _SCORED).select("best", F.size("passages").alias("p"), F.lit(0.0).alias("y"))).collect()
         if got:
             x = np.array([(min(max(r.best, -30), 10), math.log1p(r.p)) for r in got])
-            model.curve = _logistic(x, np.array([r.y for r in got]))
+            y = np.array([r.y for r in got])
+            model.curve = _logistic(x, y)
+            if min(model.curve[1:]) < 0:  # neither may count against a text's being toxic
+                model.curve = (*_logistic(x[:, :1], y), 0.0)
         return model
     finally:
         rows.unpersist()
