@@ -54,7 +54,7 @@ RULES = (
     Rule("symbols_per_word", "n_symbols", "n_words", None, 150),
     Rule("stop_words_per_word", "n_stop_words", "n_words", 20, None, 40),
     Rule("capitals_per_character", "n_capitals", "word_chars", None, 400),
-    Rule("repeated_lines", "n_dup_lines", "n_lines", None, 300),
+    Rule("repeated_lines", "n_dup_lines", "n_lines", None, 500),
     Rule("bullet_lines", "n_bullet_lines", "n_lines", None, 900),
     Rule("ellipsis_lines", "n_ellipsis_lines", "n_lines", None, 300),
 )
