@@ -91,7 +91,7 @@ def test_stages(spark, corpus, tmp_path):
 def test_run_and_registration(spark, corpus):
     import __spark_entry__ as entry
 
-    assert entry.queries()["pipeline"] is corpus_pipeline.run and "pipeline" not in entry.oracle_sql()
+    assert entry.queries()["pipeline"].__wrapped__ is corpus_pipeline.run and "pipeline" not in entry.oracle_sql()
     rows = corpus_pipeline.run(spark, corpus).collect()
     assert rows and {r.doc_id for r in rows} <= set(range(902)) and array("I", rows[0].ids)
     assert "contigo.llm" in sys.modules and toxicity.fold
