@@ -55,20 +55,23 @@ def unique_successors(edges: DataFrame) -> DataFrame:
 
 
 def chains(edges: DataFrame) -> DataFrame:
-    """v, head, rank: the place of each vertex on its path of single edges (src, dst), by pointer jumping in log rounds; cycles are cut before their least vertex."""
+    """v, head, rank: the place of each vertex on its path of single edges (src, dst), by pointer jumping in log rounds; rings are cut before their least vertex."""
     e = edges.select("src", "dst")
-    comp = components(e, "src", "dst")
-    heads = comp.join(e.select(F.col("dst").alias("v")), "v", "left_anti").select("component").distinct()
-    rings = comp.join(heads, "component", "left_anti").where("v = component").select(F.col("v").alias("dst"))
-    e = e.join(rings, "dst", "left_anti")
-    state = comp.select("v").join(e.select(F.col("dst").alias("v"), F.col("src").alias("up")), "v", "left")
-    state = kept(state.select("v", F.coalesce("up", "v").alias("up"), F.when(F.col("up").isNull(), 0).otherwise(1).cast("long").alias("d")))
-    while True:
-        new = state.join(state.toDF("up", "up2", "d2"), "up").select("v", F.col("up2").alias("up"), (F.col("d") + F.col("d2")).alias("d"), (F.col("up2") != F.col("up")).alias("moved"))
-        new = kept(new)
-        state = new.select("v", "up", "d")
-        if not new.where("moved").limit(1).count():
-            return state.toDF("v", "head", "rank")
+    every = e.select(F.explode(F.array("src", "dst")).alias("v")).distinct()
+    state = every.join(e.select(F.col("dst").alias("v"), F.col("src").alias("up")), "v", "left")
+    # top: whether up is the head of a path; low: the least vertex from v on up to, not with, up
+    state = kept(state.select("v", F.coalesce("up", "v").alias("up"), F.when(F.col("up").isNull(), 0).otherwise(1).cast("long").alias("d"), F.col("up").isNull().alias("top"), F.col("v").alias("low")))
+    for _ in range(state.count().bit_length() + 1):
+        far = state.select(F.col("v").alias("up"), F.col("up").alias("up2"), F.col("d").alias("d2"), F.col("top").alias("top2"), F.col("low").alias("low2"))
+        state = kept(state.join(far, "up").select("v", F.col("up2").alias("up"), (F.col("d") + F.col("d2")).alias("d"), F.col("top2").alias("top"), F.least("low", "low2").alias("low")))
+        if not state.where("NOT top").limit(1).count():
+            return state.select("v", F.col("up").alias("head"), F.col("d").alias("rank"))
+    rings = state.where("NOT top").select(F.col("v").alias("dst"), "low")
+    cut = kept(e.join(rings, "dst").where("dst != low").select("src", "dst"))
+    alone = rings.where("dst = low").select(F.col("dst").alias("v")).join(cut.select(F.explode(F.array("src", "dst")).alias("v")).distinct(), "v", "left_anti")
+    whole = state.where("top").select("v", F.col("up").alias("head"), F.col("d").alias("rank"))
+    whole = whole.unionByName(alone.select("v", F.col("v").alias("head"), F.lit(0).cast("long").alias("rank")))
+    return whole.unionByName(chains(cut)) if cut.limit(1).count() else whole
 
 
 # ---- de Bruijn graphs: tables (kmer, n), strands made explicit as oriented k-mers

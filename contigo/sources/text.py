@@ -199,7 +199,7 @@ def read_genbank(spark: SparkSession, path: str) -> DataFrame:
                     for f in re.finditer(r"^ {5}(\S+)\s+(.*?)(?=^ {5}\S|\Z)", block[1], re.M | re.S):
                         where, *tags = re.split(r"\n\s+/", f[2])
                         at = [int(x) for x in re.findall(r"\d+", where)]
-                        pairs = dict((t.split("=", 1) + [""])[:2] for t in tags)
+                        pairs = dict((t.strip().split("=", 1) + [""])[:2] for t in tags)
                         rows.append((m[1], f[1], min(at), max(at), -1 if "complement" in where else 1, {k: re.sub(r"\s*\n\s*", " ", v).strip().strip('"') for k, v in pairs.items()}))
             yield pd.DataFrame(rows, columns=["record", "kind", "start", "end", "strand", "qualifiers"])
 
