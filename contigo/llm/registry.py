@@ -25,6 +25,5 @@ def queries() -> dict[str, Callable]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_quality_rules": quality_rules.SQL,
-        "op6_quality_model": quality_model.op6_quality_model,
         "op7_chat_formatting": chat.SQL,
     }
