@@ -344,3 +344,16 @@ def keep_one_each(docs: DataFrame) -> DataFrame:
 
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(read_table(spark, sf_dir, "documents"))
+
+
+SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, CASE WHEN len(ws) < 5 THEN ws ELSE ws[i:i+4] END AS g FROM w, unnest(range(1, greatest(len(ws) - 3, 2))) t(i) WHERE len(ws) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM s a JOIN s b USING (g) WHERE a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= 75 * (x.n + y.n - i)),
+u AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(v, c) AS (SELECT a, a FROM u UNION SELECT u.b, r.c FROM r JOIN u ON u.a = r.v)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, coalesce((SELECT min(c) FROM r WHERE v = doc_id), doc_id) AS component_id FROM documents LEFT JOIN n USING (doc_id)
+"""

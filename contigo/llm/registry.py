@@ -25,5 +25,6 @@ def queries() -> dict[str, Callable]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_quality_rules": quality_rules.SQL,
+        "op5_jaccard_join": jaccard.SQL,
         "op7_chat_formatting": chat.SQL,
     }
