@@ -9,12 +9,13 @@ average. floor(c) copies are certain, the fractional rest is rounded by the pivo
 two fractional documents are paired and words of probability mass move from one to the other,
 in a random direction that leaves each expectation as it was, until one of them is integral;
 the other meets the next. The words of the pair stay the same, so a source's taken words
-differ from its target by part of the one document that is left over.
+differ from its target by part of the one document that is left over at most.
 
 Distributed: documents are dealt to blocks of about ``BLOCK`` by a hash of their id, each
 block is folded in hash order by one SQL ``aggregate``, and what is left over in each block
 (one document at most) is folded again with others, in a tree of some log(n) / log(BLOCK)
-levels, until a source has one left, which is rounded to the nearer side. Blocks are small
+levels, until a source has one left, which is rounded to the nearer side; a document of the root
+that has about the words of that rounding then changes sides against it. Blocks are small
 whatever the source's share of the rows, random numbers are hashes of ids: reruns agree.
 
 Edge cases: null or empty text has size 0 and is taken 0 words (and kept once by
@@ -89,6 +90,18 @@ def _folded(rows: DataFrame, last: bool) -> DataFrame:
     return blocks.withColumn("left", F.expr(_FOLD))
 
 
+def _rounded(roots: DataFrame) -> DataFrame:
+    """The roots with v, what becomes of the document that is left, and ones, in which one document of about the words
+    that this rounding adds or takes has changed sides, if that brings the source nearer to its target."""
+    roots = roots.withColumn("v", F.when(F.col("left.p") >= 0.5, 1).otherwise(0))
+    roots = roots.withColumn("e", F.when(F.col("left.i") >= 0, (F.col("v") - F.col("left.p")) * F.col("left.s")).otherwise(F.lit(0.0)))
+    others = F.filter(F.transform("items", lambda x, k: F.struct(F.abs(F.abs("e") - x["s"]).alias("d"), k.alias("k"))), lambda c: (c["k"] != F.col("left.i")) & (F.array_contains("left.ones", c["k"]) == (F.col("e") > 0)))
+    roots = roots.withColumn("best", F.array_min(others))
+    flip = F.when(F.col("best.d") < F.abs("e"), F.col("best.k"))
+    ones = F.when(flip.isNull(), F.col("left.ones")).when(F.col("e") > 0, F.array_except("left.ones", F.array(flip))).otherwise(F.concat("left.ones", F.array(flip)))
+    return roots.withColumn("ones", ones)
+
+
 def mix_decisions(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
     """doc_id, size, source_size, target, copies of each row."""
     spark = docs.sparkSession
@@ -113,10 +126,10 @@ def mix_decisions(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHAR
     above = None  # sid, blk, v: what became of the block's left document
     for blocks in reversed(up):
         if above is None:
-            known = blocks.withColumn("v", F.when(F.col("left.p") >= 0.5, 1).otherwise(0))
+            known = _rounded(blocks)
         else:
-            known = blocks.join(above, ["sid", "blk"], "left")
-        each = known.select("sid", F.col("left.i").alias("li"), F.col("left.ones").alias("ones"), "v", F.posexplode("items").alias("i", "item"))
+            known = blocks.join(above, ["sid", "blk"], "left").withColumn("ones", F.col("left.ones"))
+        each = known.select("sid", F.col("left.i").alias("li"), "ones", "v", F.posexplode("items").alias("i", "item"))
         got = F.when(F.col("i") == F.col("li"), F.col("v")).otherwise(F.array_contains("ones", F.col("i")).cast("int"))
         above = each.select("sid", F.col("item.key.*"), got.alias("v"))
     rounded = above.select("doc_id", "size", "source_size", "target", (F.col("sure") + F.col("v")).cast("long").alias("copies"))
