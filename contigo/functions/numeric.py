@@ -56,3 +56,25 @@ def scaffold_parameters(genome: Column, insert: Column, mean: Column, sd: Column
     n = F.floor(1.25 * F.log2(insert) + 0.99)
     k = F.greatest(F.lit(1), F.floor(F.log(1.4, links) - 11.5) - (2 if again else 0))
     return F.struct(m.cast("int").alias("m"), n.cast("int").alias("n"), k.cast("int").alias("k"), F.lit(0.3 if again else 0.4).alias("a"), F.least(6 * sd / mean, F.lit(0.95)).alias("err"))
+
+
+@F.pandas_udf(DoubleType())
+def linking_pairs(len1: pd.Series, len2: pd.Series, gap: pd.Series, mean: pd.Series, sd: pd.Series, density: pd.Series) -> pd.Series:
+    """Pairs expected to join two contigs with a gap between them, for normal inserts: over the starts at i bases from the first
+    contig's end, the chance that the insert ends on the second contig, times pairs per base. The sum over i is taken as an integral."""
+
+    def area(x: float, s: float) -> float:
+        z = x / s
+        return s * (z * 0.5 * math.erfc(-z / math.sqrt(2)) + math.exp(-z * z / 2) / math.sqrt(2 * math.pi))
+
+    def one(a: float, b: float, g: float, m: float, s: float, d: float) -> float | None:
+        if None in (a, b, g, m, s, d) or s <= 0:
+            return None
+        return d * (area(a + g + b - m, s) - area(g + b - m, s) - area(a + g - m, s) + area(g - m, s))
+
+    return pd.Series([one(*map(float, x)) for x in zip(len1, len2, gap, mean, sd, density)])
+
+
+def quoted_field(line: Column, n: int = 1) -> Column:
+    """The n-th double-quoted field of a log line, null if there are fewer."""
+    return F.get(F.regexp_extract_all(line, F.lit('"([^"]*)"'), 1), F.lit(n - 1))

@@ -275,3 +275,12 @@ def test_streams(spark, tmp_path):
     q.stop()
     assert sorted(r.n for r in spark.sql("SELECT * FROM w").collect()) == [15] * 4
     assert list(itertools.islice((r.n for r in events.windowed_counts(df, "1 hour").collect()), 2)) == [30, 30]
+
+
+def test_linking_pairs(spark):
+    l1, l2, g, m, sd, d = 500, 400, 30, 300.0, 25.0, 0.2
+    phi = lambda x: 0.5 * math.erfc(-(x - m) / sd / math.sqrt(2))
+    want = d * sum(phi(i + g + l2) - phi(i + g) for i in np.arange(0.5, l1))
+    row = spark.createDataFrame([(l1, l2, g, m, sd, d)], "a int, b int, g int, m double, s double, d double")
+    assert abs(row.select(numeric.linking_pairs("a", "b", "g", "m", "s", "d")).first()[0] - want) < 0.01 * want
+    assert one(spark, numeric.quoted_field(F.lit('job "17" "x"'), 2), numeric.quoted_field(F.lit("none"))) == ("x", None)
