@@ -19,9 +19,18 @@ def explode_kmers(df: DataFrame, seq: str, k: int, keep: list[str] | None = None
 
 def kmer_counts(df: DataFrame, seq: str, k: int, strands: bool = True, least: int = 1, letters: str | None = "ACGT", by: list[str] | None = None) -> DataFrame:
     """by, kmer, n: strands: a k-mer and its reverse complement count as one. Counts are added up before the shuffle."""
-    rows = explode_kmers(df, seq, k, by, letters)
-    key = canonical(F.col("kmer")) if strands else F.col("kmer")
-    return rows.groupBy(*(by or []), key.alias("kmer")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
+    if not strands:
+        return explode_kmers(df, seq, k, by, letters).groupBy(*(by or []), "kmer").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
+    # both strands of a sequence are made once; a k-mer and its complement are then substrings at mirrored places
+    clean = F.translate(F.col(seq), letters, "") == "" if letters else F.lit(True)
+    both = df.select(*(by or []), F.col(seq).alias("__s"), revcomp(F.col(seq)).alias("__r"), clean.alias("__clean"))
+    n = F.char_length("__s") - k + 1
+    pick = lambda i: F.least(F.substring("__s", i, F.lit(k)), F.substring("__r", n - i + 1, F.lit(k)))
+    places = F.when(n > 0, F.transform(F.sequence(F.lit(1), n), pick)).otherwise(F.array().cast("array<string>"))
+    rows = both.select(*(by or []), "__clean", F.explode(places).alias("kmer"))
+    if letters:
+        rows = rows.where(F.col("__clean") | (F.translate("kmer", letters, "") == ""))
+    return rows.groupBy(*(by or []), "kmer").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
 
 
 def _bit(base) -> F.Column:
