@@ -104,3 +104,19 @@ def test_chat_digest(spark, tmp_path):
     r = {x.conv_id: x for x in chat.op7_chat_formatting(spark, str(tmp_path)).collect()}
     assert r[0].loss_sha256 == hashlib.sha256(b"a<|b").hexdigest() and r[0].loss_chars == 4
     assert r[-1].n_turns == 2
+
+
+def test_chat_query_folds_its_events(spark, tmp_path, monkeypatch):
+    rows = [(c % 3 if c % 4 else None, t % 4, ["user", None, "assistant"][t % 3], ["b", None, "<|x", "a"][(c + t) % 4]) for c in range(8) for t in range(9)]
+    rows += rows[:5]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    folded, fold = [], chat.fold_events
+    monkeypatch.setattr(chat, "fold_events", lambda log: folded.append(log) or fold(log))
+    out = {x.conv_id: x for x in chat.op7_chat_formatting(spark, str(tmp_path)).collect()}
+    assert len(folded) == 1 and folded[0].count() == len(rows) + 2
+    assert out.keys() == {None, -1, 0, 1, 2}
+    for c in (None, 0, 1, 2):
+        want = sorted((t, role or "user", text or "") for x, t, role, text in rows if x == c)
+        assert out[c].n_turns == len(want)
+        assert out[c].turns_sha256 == hashlib.sha256("".join(f"{r}\n{t}\n" for _, r, t in want).encode()).hexdigest()
+        assert out[c].loss_sha256 == hashlib.sha256("".join(t for _, r, t in want if r == "assistant").encode()).hexdigest()
