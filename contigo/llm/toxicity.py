@@ -9,7 +9,8 @@ Learning (``learn``):
 2. Tokens in four toxic sample texts or more are candidates (``CANDIDATES`` at most, the most
    frequent ones). One pass over all documents counts how many texts hold each: these
    corpus counts are the Dirichlet prior of the log-odds ratio of toxic and other texts.
-3. Tokens whose log-odds are at least ``LEAST_ODDS``, and ``LEAST_Z`` standard errors above 0, score
+3. Tokens whose log-odds are at least ``LEAST_ODDS``, and ``LEAST_Z`` standard errors above 0 by a
+   likelihood ratio of the two counts (none in other texts is evidence, not a lack of it), score
    their log-odds, all others nothing (in a large sample toxic texts' mere length makes small
    log-odds significant); every token also costs ``DRIFT``.
 
@@ -250,6 +251,14 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple:
     return tuple(w.tolist())
 
 
+def evidence(y1: np.ndarray, n1: float, y0: np.ndarray, n0: float) -> np.ndarray:
+    """Standard errors by which y1 of n1 texts hold a token more often than y0 of n0: the signed root of the likelihood ratio, which grows as y0 falls, down to none."""
+    share = (y1 + y0) / max(n1 + n0, 1)
+    part = lambda seen, meant: np.where(seen > 0, seen * np.log(np.maximum(seen, 1e-300) / np.maximum(meant, 1e-300)), 0.0)
+    g = part(y1, n1 * share) + part(n1 - y1, n1 * (1 - share)) + part(y0, n0 * share) + part(n0 - y0, n0 * (1 - share))
+    return np.sign(y1 - n1 * share) * np.sqrt(np.maximum(2 * g, 0))
+
+
 def learn(docs: DataFrame, labels: DataFrame, allowed: Column, sample: int = SAMPLE) -> Model:
     """A model from the labels (doc_id, toxic) of rows that ``allowed`` (over doc_id) lets it learn from."""
     spark, texts = docs.sparkSession, text_docs(docs)
@@ -283,8 +292,7 @@ def learn(docs: DataFrame, labels: DataFrame, allowed: Column, sample: int = SAM
         n1 = pick(teach, True).count()
         prior = PRIOR * (every + 0.01) / (n_every + 1)
         odds = np.log((y1 + prior) / (n1 + PRIOR - y1 - prior)) - np.log((y0 + prior) / (n0 + PRIOR - y0 - prior))
-        z = odds / np.sqrt(1 / (y1 + prior) + 1 / (y0 + prior))
-        take = (z >= LEAST_Z) & (odds >= LEAST_ODDS)
+        take = (evidence(y1, n1, y0, n0) >= LEAST_Z) & (odds >= LEAST_ODDS)
         model = Model(keys[take], odds[take])
         model.rate = _null_rate((y0[take] + prior[take]) / max(words0, 1) / (1 + len(BEGINNINGS)), odds[take])
         shared = spark.sparkContext.broadcast(model)

@@ -64,3 +64,23 @@ def test_learns_and_marks(spark):
     assert kept == sorted((x for x in docs if not by[x[0]].predicted), key=str)
     none = toxicity.learn(d, lab.limit(0), F.lit(True))
     assert all(r.score < 1e-6 and r.predicted == 0 for r in toxicity.find_passages(d, none).collect())
+
+
+def test_words_in_a_thousandth_of_documents(spark):
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 6)))
+    vocabulary, rare = [word() for _ in range(300)], [f"zq{a}{b}x" for a in "vwxyz" for b in "rstu"]
+    docs, labels = [], []
+    for i in range(8000):
+        ws, toxic = [rng.choice(vocabulary) for _ in range(8)], i < 160
+        if toxic:  # 20 words, each in 8 documents, and in no clean one
+            ws.insert(rng.randrange(9), rare[i % 20])
+        docs.append((i, " ".join(ws)))
+        labels.append((i, int(toxic)))
+    d, lab = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = toxicity.learn(d, lab, F.lit(True))
+    new = [(i, " ".join([*rng.choices(vocabulary, k=8), *([rare[i]] if i < 20 else [])])) for i in range(200)]
+    got = {r.doc_id: r.predicted for r in toxicity.find_passages(spark.createDataFrame(new, "doc_id long, text string"), model).collect()}
+    assert sum(got[i] for i in range(20)) >= 18 and sum(got[i] for i in range(20, 200)) <= 2
+    z = toxicity.evidence(np.array([180.0, 180.0, 16.0, 1.0]), 1800, np.array([0.0, 1.0, 0.0, 8.0]), 14200)
+    assert z[0] > z[1] > toxicity.LEAST_Z and z[2] > toxicity.LEAST_Z > z[3]
