@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 import math
 from dataclasses import dataclass
 
@@ -134,40 +135,78 @@ def cells(features: DataFrame, contig: str) -> DataFrame:
     return pairs.select("a", "b", F.when(F.col("a") == F.col("b"), F.expr("na * (na - 1) div 2")).otherwise(F.col("na") * F.col("nb")).alias("cells"))
 
 
+class _ChainEnds:
+    """The longest rising chain that ends at each point (sorted by x), kept up as points are removed: scores never grow, so a best way on stays best until it shrinks itself."""
+
+    def __init__(self, x: np.ndarray, y: np.ndarray, distance: float):
+        self.x, self.y, self.distance = x, y, distance
+        self.low, self.high = np.searchsorted(x, x - distance).tolist(), np.searchsorted(x, x).tolist()
+        self.score, self.prev = np.zeros(len(x), np.int64), [-1] * len(x)
+        self.next: list[set] = [set() for _ in x]
+        for i in range(len(x)):
+            self._link(i)
+
+    def _link(self, i: int) -> None:
+        """Score i and link it to the last of the best points before it."""
+        a, b = self.low[i], self.high[i]
+        best, to = 0, -1
+        if a < b:
+            dy = self.y[i] - self.y[a:b]
+            s = np.where((dy > 0) & (self.x[i] - self.x[a:b] + dy < self.distance), self.score[a:b], 0)
+            k = b - a - 1 - int(np.argmax(s[::-1]))
+            if s[k] > 0:
+                best, to = s[k], a + k
+        if self.prev[i] >= 0:
+            self.next[self.prev[i]].discard(i)
+        self.score[i], self.prev[i] = best + 1, to
+        if to >= 0:
+            self.next[to].add(i)
+
+    def path(self, i: int) -> list[int]:
+        out = []
+        while i >= 0:
+            out.append(i)
+            i = self.prev[i]
+        return out[::-1]
+
+    def remove(self, path: list[int]) -> None:
+        gone, dirty = set(path), set()
+        for i in path:
+            if self.prev[i] >= 0:
+                self.next[self.prev[i]].discard(i)
+            self.score[i], self.prev[i] = 0, -1
+            dirty |= self.next[i]
+        queue = sorted(dirty - gone)
+        dirty = set(queue)
+        while queue:
+            i = heapq.heappop(queue)
+            before = self.score[i]
+            self._link(i)
+            if self.score[i] < before:
+                for k in self.next[i] - gone - dirty:
+                    dirty.add(k)
+                    heapq.heappush(queue, k)
+
+
 def collinear_chains(points: DataFrame, by: list[str], x: str, y: str, distance: float, least: int = 3) -> DataFrame:
     """by, block, x, y, place: chains of points in one direction (both grow, or x grows and y falls) with steps of a Manhattan distance below a limit.
 
-    Greedy: the longest chain of a grid first, then the next among the points that are left, down to so many points. One grid at a time: dynamic programming over its points in order of x.
+    Greedy: the longest chain of a grid first, then the next among the points that are left, down to so many points. One grid at a time: dynamic
+    programming over its points in order of x; when a chain is taken out, only points whose own best chain went through it are worked out again.
     """
     kinds = dict(points.dtypes)
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         pts = pdf[[x, y]].drop_duplicates().sort_values([x, y], kind="stable").to_numpy()
-        left, blocks = list(range(len(pts))), []
-        while left:
-            best = None
-            for sign in (1, -1):
-                score, prev = {}, {}
-                for p, i in enumerate(left):
-                    score[i], prev[i] = 1, None
-                    for j in reversed(left[:p]):
-                        dx, dy = pts[i][0] - pts[j][0], sign * (pts[i][1] - pts[j][1])
-                        if dx >= distance:
-                            break
-                        if dx > 0 and dy > 0 and dx + dy < distance and score[j] + 1 > score[i]:
-                            score[i], prev[i] = score[j] + 1, j
-                end = max(score, key=lambda i: (score[i], -i))
-                if best is None or score[end] > best[0]:
-                    path, i = [], end
-                    while i is not None:
-                        path.append(i)
-                        i = prev[i]
-                    best = (score[end], path[::-1])
-            if best[0] < least:
+        ways, blocks = [_ChainEnds(pts[:, 0], sign * pts[:, 1], distance) for sign in (1, -1)], []
+        while True:
+            ends = [int(np.argmax(w.score)) for w in ways]
+            way = max((0, 1), key=lambda k: (ways[k].score[ends[k]], -k))
+            if ways[way].score[ends[way]] < max(least, 1):
                 break
-            blocks.append(best[1])
-            gone = set(best[1])
-            left = [i for i in left if i not in gone]
+            blocks.append(ways[way].path(ends[way]))
+            for w in ways:
+                w.remove(blocks[-1])
         rows = [(*(pdf[c].iloc[0] for c in by), b, pts[i][0], pts[i][1], place) for b, path in enumerate(blocks) for place, i in enumerate(path)]
         return pd.DataFrame(rows, columns=[*by, "block", x, y, "place"])
 

@@ -617,8 +617,9 @@ def q_cells(s, d):
 
 @query()
 def q_collinear_chains(s, d):
-    p = table(s, d, "lineitem").selectExpr("l_suppkey % 10 AS grid", "l_partkey % 500 AS x", "l_orderkey % 500 AS y").distinct()
-    return cluster.collinear_chains(p.groupBy("grid", F.expr("x div 50").alias("gx")).agg(F.min(F.struct("x", "y")).alias("m")).select("grid", "m.x", "m.y"), ["grid"], "x", "y", 120.0, 3)
+    # a grid a supplier: all its points, and no more of them in a larger table
+    p = table(s, d, "lineitem").selectExpr("l_suppkey AS grid", "l_partkey % 500 AS x", "l_orderkey % 500 AS y").distinct()
+    return cluster.collinear_chains(p, ["grid"], "x", "y", 120.0, 3)
 
 
 # ---- demultiplexing, scaffolds, scores, sampling

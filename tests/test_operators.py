@@ -284,3 +284,42 @@ def test_linking_pairs(spark):
     row = spark.createDataFrame([(l1, l2, g, m, sd, d)], "a int, b int, g int, m double, s double, d double")
     assert abs(row.select(numeric.linking_pairs("a", "b", "g", "m", "s", "d")).first()[0] - want) < 0.01 * want
     assert one(spark, numeric.quoted_field(F.lit('job "17" "x"'), 2), numeric.quoted_field(F.lit("none"))) == ("x", None)
+
+
+def brute_chains(points, distance, least):
+    """Greedy longest chains by definition, each found anew among the points that are left; (block, x, y, place)."""
+    pts, out = sorted(set(points)), []
+    left = list(range(len(pts)))
+    for block in itertools.count():
+        best = None
+        for sign in (1, -1):
+            score, prev = {}, {}
+            for i in left:
+                before = [j for j in left if pts[j][0] < pts[i][0] and sign * pts[j][1] < sign * pts[i][1] and pts[i][0] - pts[j][0] + abs(pts[i][1] - pts[j][1]) < distance]
+                prev[i] = max(before, key=lambda j: (score[j], j), default=None)
+                score[i] = 1 + score.get(prev[i], 0)
+            end = max(score, key=lambda i: (score[i], -i), default=None)
+            if end is not None and (best is None or score[end] > best[0]):
+                path = [end]
+                while prev[path[-1]] is not None:
+                    path.append(prev[path[-1]])
+                best = score[end], path[::-1]
+        if best is None or best[0] < least:
+            return out
+        out += [(block, *pts[i], place) for place, i in enumerate(best[1])]
+        left = [i for i in left if i not in best[1]]
+
+
+def test_collinear_chains_of_all_points(spark, tmp_path):
+    from contigo.plans import queries
+
+    rng = random.Random(8)
+    items = [(rng.choice([1, 11, 21, 7]), rng.randrange(2000), rng.randrange(3000)) for _ in range(400)]
+    spark.createDataFrame(items, "l_suppkey long, l_partkey long, l_orderkey long").write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = rows(queries.q_collinear_chains(spark, str(tmp_path)), "grid", "block", "x", "y", "place")
+    want = [(g, *r) for g in (1, 11, 21, 7) for r in brute_chains([(p % 500, o % 500) for s, p, o in items if s == g], 120.0, 3)]
+    assert got == sorted(want, key=repr) and len(got) > 200
+    for least, kind in ((1, int), (2, float), (3, int)):
+        pts = [(kind(rng.randrange(40)), kind(rng.randrange(40))) for _ in range(120)]
+        df = spark.createDataFrame([("c", *p) for p in pts], f"c string, x {'long' if kind is int else 'double'}, y {'long' if kind is int else 'double'}")
+        assert rows(cluster.collinear_chains(df, ["c"], "x", "y", 9.0, least), "block", "x", "y", "place") == sorted(brute_chains(pts, 9.0, least), key=repr)
