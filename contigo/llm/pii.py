@@ -1,8 +1,9 @@
 """Personal data replaced by surrogates of the same type and format, by a keyed one-to-one mapping.
 
-Detected: e-mail addresses, telephone numbers, IPv4 addresses, payment card numbers (with a valid
+Detected: e-mail addresses, telephone numbers (international; national ones with brackets, a leading
+0 or 1, or in groups of 3, 3 and 4 digits), IPv4 addresses, payment card numbers (with a valid
 check digit), IBANs (with a valid check number), US social security numbers, MAC addresses,
-secrets assigned to a key word (token, key, password, ...), long hexadecimal or prefixed access
+secrets assigned to a key word (token, key, password, ...) with quotes or without, long hexadecimal or prefixed access
 keys, and personal names after a title.
 
 Every type has a finite set of values of the same format. A keyed Feistel network permutes
@@ -165,14 +166,18 @@ def _email(m: Mapping, text: str) -> str:
 
 def _phone(m: Mapping, text: str) -> str:
     digits = _digits(text)
-    country = len(re.match(r"\+?(\d*)", text)[1]) if text.startswith("+") else 0
-    country = min(country, 3) if country < len(digits) else min(3, len(digits) - 4)
+    if text.startswith("+"):
+        country = len(re.match(r"\+(\d*)", text)[1])
+        country = country if country <= 3 else 1 if digits[0] in "17" else 2 if digits[:2] in TWO_DIGITS else 3
+    else:  # 0 and 1 before a national number stay
+        country = 1 if re.match(r"\(?0|1[ .\-(]", text) else 0
     own = digits[country:]
+    zero = not text.startswith("+") and digits[country - 1 : country] != "1"  # whether (another) 0 leads must stay
     fictional = len(own) == 10 and own[3:6] == "555"
     if fictional:  # an exchange for examples stays one
         own = own[:3] + own[6:]
     kind = lambda x: len(own) == 10 and f"{x:010d}"[3:6] == "555"
-    x = m.walk(b"phone%d%d" % (country, fictional) + digits[:country].encode(), 10 ** len(own), int(own), lambda y: fictional or kind(y) == kind(int(own)))
+    x = m.walk(b"phone%d%d" % (country, fictional) + digits[:country].encode(), 10 ** len(own), int(own), lambda y: (fictional or kind(y) == kind(int(own))) and (not zero or (y < 10 ** (len(own) - 1)) == (own[0] == "0")))
     own = f"{x:0{len(own)}d}"
     return _refill(text, digits[:country] + (own[:3] + "555" + own[3:] if fictional else own))
 
@@ -248,17 +253,29 @@ def _mac(m: Mapping, text: str) -> str:
     return _by_shape(m, b"mac", text, hexadecimal=True)
 
 
+#: Country codes of two digits; 1 and 7 stand alone, all others have three. Fixed values.
+TWO_DIGITS = set("20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())
+
+_KEY_WORD = r"(?i:token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key|private[_-]?key|authorization|auth)"
+#: A character of a value without quotes: marks only before another one.
+_BARE = r"(?:[^\s\"'`<>,;&(){}\[\].:!?=]|[.:!?=](?=[^\s\"'`<>,;&(){}\[\]]))"
+
 #: type -> pattern; of those that begin at one place the first one counts. An entity is group 1 where there is one.
 PATTERNS = {
     "email": r"[A-Za-z0-9_.+\-À-ÖØ-öø-ÿ]+@(?:[A-Za-z0-9](?:[A-Za-z0-9\-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,}",
-    "secret": r"(?i:token|secret|passw(?:or)?d|api[_-]?key|access[_-]?key|private[_-]?key|auth)(?:\w*)\s*[:=]\s*[\"']([^\s\"']{6,})[\"']",
+    "secret": _KEY_WORD + r"(?:\w*[\"']?\s*(?::=|=>|[:=])\s*[\"']([^\s\"']{6,})[\"']|(?![A-Za-z])(?:[_-]?\w+)?[\"']?\s*(?::=|=>|=(?!=)|:(?=\s*(?i:bearer\s+|basic\s+)?" + _BARE + r"*\d))\s*(?i:bearer\s+|basic\s+)?(" + _BARE + r"{6,}+)(?![(\[]))",
     "access_key": r"(?<![A-Za-z0-9])(?:(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,}|xox[abprs]-[A-Za-z0-9\-]{10,}|AIza[A-Za-z0-9_\-]{35}|[0-9a-f]{32,}|[0-9A-F]{32,})(?![A-Za-z0-9])",
     "mac": r"(?<![\w:])(?:[0-9A-F]{2}:){5}[0-9A-F]{2}(?![\w:])|(?<![\w:])(?:[0-9a-f]{2}:){5}[0-9a-f]{2}(?![\w:])",
     "iban": r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
     "ip": r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w]|\.\d)",
     "ssn": r"(?<![\w\-])\d{3}-\d{2}-\d{4}(?![\w\-])",
     "card": r"(?<![\w.\-])\d(?:[ \-]?\d){12,18}(?![\w\-]|\.\d)",
-    "phone": r"(?<![\w+])(?:\+\d{1,3}[ .\-]?)?\(\d{2,4}\)[ .\-]?\d{3,4}[ .\-]\d{3,4}(?![\w\-])|(?<![\w+])\+\d{1,3}(?:[ .\-]\d{2,4}){2,5}(?![\w\-])|(?<![\w.+\-])\d{3}[.\-]\d{3}[.\-]\d{4}(?![\w\-]|\.\d)",
+    "phone": "|".join((
+        r"(?<![\w+])\+(?:1(?:\)?[ .\-/]?\(?\d){10}|[1-9]\d{7,14}|[1-9](?:\)?[ .\-/]?\(?\d){6,14})(?!\d)",
+        r"(?<![\w+])(?:1[ .\-]?)?\(\d{2,5}\)[ .\-/]?(?:\d{3,4}[ .\-/]\d{3,4}|\d{6,8}|\d{2}(?:[ .\-/]\d{2}){2,4})(?![\w\-])",
+        r"(?<![\w.+\-])(?:1[ .\-])?\d{3}[ .\-]\d{3}[ .\-]\d{4}(?![\w\-]|\.\d)",
+        r"(?<![\w.,+\-/:])(?!0\d[./\-]\d\d[./\-](?:19|20)\d\d)0(?:0[1-9](?:[ .\-/]?\d){7,12}|[1-9](?:(?:[ .\-/](?=\d\d))?\d){7,10})(?![\w\-]|\.\d)",
+    )),
     "name": r"(?<!\w)(?:" + "|".join(re.escape(t) for t in TITLES.split()) + r")\.? ((?:[A-ZÀ-ÖØ-ÞΆ-ΏΑ-ΫА-ЯЁ][a-zß-öø-ÿά-ώа-яё]+)(?:[ ][A-ZÀ-ÖØ-ÞΆ-ΏΑ-ΫА-ЯЁ][a-zß-öø-ÿά-ώа-яё]+)?)",
 }
 _CHECK: dict[str, Callable[[str], bool]] = {
@@ -270,8 +287,8 @@ _MAKE = {"email": _email, "secret": _secret, "access_key": _secret, "mac": _mac,
 _ALL = re.compile("|".join(f"(?P<{k}>{p})" for k, p in PATTERNS.items() if k != "name"))
 _NAMES = re.compile(PATTERNS["name"])
 _ONE = {k: re.compile(p) for k, p in PATTERNS.items()}
-#: Without one of these a text holds no entity: digits, an address sign, a title before a capital, or an assigned quotation.
-_ANY = re.compile(r"[0-9@]|[:=]\s*[\"']")
+#: Without one of these a text holds no entity: digits, an address sign, a title before a capital, or a key word.
+_ANY = re.compile(r"[0-9@]|" + _KEY_WORD)
 _TITLE = re.compile("|".join(re.escape(t) for t in TITLES.split()))
 
 
@@ -285,11 +302,14 @@ def find(text: str) -> list[tuple[int, int, str]]:
             at = m.end()
             if kind in ("secret",):
                 inner = _ONE[kind].match(text, m.start())
-                start, end = inner.span(1)
+                start, end = inner.span(inner.lastindex)
             else:
                 start, end = m.span(kind)
             if kind in _CHECK and not _CHECK[kind](text[start:end]):
-                at = _next_part(text, m.start(), kind, out)
+                if kind == "card" and (phone := _ONE["phone"].match(text, start)):
+                    out.append((start, at := phone.end(), "phone"))
+                else:
+                    at = _next_part(text, m.start(), kind, out)
                 continue
             out.append((start, end, kind))
     if _TITLE.search(text):

@@ -90,3 +90,36 @@ def test_spark(spark):
     again = {r.doc_id: r for r in pii.with_surrogates(df).collect()}
     assert all(again[i].text == rows[i].text and again[i].entities == "e" for i in rows)
     assert again[3].n_chars == len(again[3].text) and pii.replace_pii(df.limit(0)).count() == 0
+
+
+PHONES = ["+14155552671", "+4915112345678", "+49 30 1234567", "+33 1 23 45 67 89", "030 12345678", "415 555 2671", "1-415-555-2671", "(415) 5552671", "01 23 45 67 89", "0171 1234567", "0301234567", "0049 30 12345678", "1 (415) 555-2671", "+49 (0)30 1234567", "+353 1 234 5678"]
+
+
+@pytest.mark.parametrize("entity", PHONES)
+def test_telephone_numbers(entity):
+    text = f"So {entity}, and ({entity})."
+    new, done = pii.surrogates(text, M)
+    assert [d[:2] for d in done] == [("phone", entity)] * 2 and entity not in new and done[0][2] == done[1][2]
+    assert [x[2] for x in pii.find(new)] in (["phone"] * 2, ["card"] * 2) and [c.isdigit() for c in done[0][2]] == [c.isdigit() for c in entity]
+    assert pii.surrogates(f"call {entity} 2024", M)[0] != f"call {entity} 2024"
+
+
+@pytest.mark.parametrize("form", ["+1415{:07d}", "030 {:08d}", "0{:09d}", "415 {:03d} 2671", "1-415-{:03d}-2671", "(415) {:07d}"])
+def test_telephone_surrogates_are_distinct(form):
+    entities = [form.format(x) for x in range(100, 400)]
+    got = {pii._phone(M, e) for e in entities}
+    assert len(got) == len(entities) and {g[0] for g in got if form[0] in "+01("} <= {form[0]}
+
+
+@pytest.mark.parametrize("text, secret", [
+    ("password=hunter22", "hunter22"), ("api_key: abc123", "abc123"), ("see password=hunter22.", "hunter22"), ("PASSWORD = s3cr3t!x;", "s3cr3t!x"), ('{"password": "hunter22"}', "hunter22"),
+    ("?token=abcdefgh&x=1", "abcdefgh"), ("Authorization: Bearer ab12cd34.ef", "ab12cd34.ef"), ("AWS_SECRET_ACCESS_KEY=wJalrXUtnFEMI/K7MDENG", "wJalrXUtnFEMI/K7MDENG"), ("pwd:=qwertyuiop", "qwertyuiop"),
+])
+def test_assigned_secrets(text, secret):
+    new, done = pii.surrogates(text, M)
+    assert [d[:2] for d in done] == [("secret", secret)] and secret not in new and len(new) == len(text)
+
+
+@pytest.mark.parametrize("text", ["the secret: practice daily", "author = Johnson", "token = get_token()", "password == other_value", "max_tokens = 100000", "on 01.02.2024 10:15 and 01-02-2024 12", "0.123456789", "nt 0054994038693466 the", "2024-01-02 03:04:05", "1 2 3 4 5 6 7 8 9 10"])
+def test_no_entities(text):
+    assert pii.surrogates(text, M) == (text, [])
