@@ -36,7 +36,47 @@ def scaffold_edges(pairs: DataFrame, least_pairs: int) -> DataFrame:
     return pairs.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("pairs"), F.avg("distance").alias("distance")).where(F.col("pairs") >= least_pairs)
 
 
-def transitive_reduction(edges: DataFrame, slack: float | None = None) -> DataFrame:
+def transitive_reduction(edges: DataFrame, steps: int = 500) -> DataFrame:
+    """Edges (src, dst, ...) beside which no other path leads from src to dst, whatever its length: in order of src and dst, edges already taken out left out.
+
+    A search takes up fewer vertices than steps, breadth first, neighbours in order. The order matters in rings, so one component is worked at a time.
+    """
+    pairs = kept(edges.select("src", "dst").where("src IS NOT NULL AND dst IS NOT NULL").distinct())
+    kinds = dict(pairs.dtypes)
+
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        after, gone = defaultdict(list), []
+        for a, b in sorted(zip(pdf["src"].tolist(), pdf["dst"].tolist())):
+            after[a].append(b)
+
+        def connected(a, b) -> bool:
+            """Whether a path leads from a to b without their edge."""
+            seen, queue, taken = {a}, deque([a]), 0
+            while queue and (taken := taken + 1) < steps:
+                v = queue.popleft()
+                for w in after.get(v, ()):
+                    if v == a and w == b:
+                        continue
+                    if w == b:
+                        return True
+                    if w not in seen:
+                        seen.add(w)
+                        queue.append(w)
+            return False
+
+        for a in sorted(after):
+            for b in list(after[a]):
+                if len(after[a]) > 1 and connected(a, b):
+                    after[a].remove(b)
+                    gone.append((a, b))
+        return pd.DataFrame(gone, columns=["src", "dst"])
+
+    of = components(pairs, "src", "dst").withColumnRenamed("v", "src")
+    gone = pairs.join(of, "src").groupBy("component").applyInPandas(one, f"src {kinds['src']}, dst {kinds['dst']}")
+    return edges.join(gone, ["src", "dst"], "left_anti")
+
+
+def two_step_reduction(edges: DataFrame, slack: float | None = None) -> DataFrame:
     """Edges (src, dst, distance) for which no path of two other edges leads from src to dst (slack: of about the same distance)."""
     first = edges.select("src", F.col("dst").alias("mid"), F.col("distance").alias("d1"))
     second = edges.select(F.col("src").alias("mid"), "dst", F.col("distance").alias("d2"))

@@ -323,3 +323,25 @@ def test_collinear_chains_of_all_points(spark, tmp_path):
         pts = [(kind(rng.randrange(40)), kind(rng.randrange(40))) for _ in range(120)]
         df = spark.createDataFrame([("c", *p) for p in pts], f"c string, x {'long' if kind is int else 'double'}, y {'long' if kind is int else 'double'}")
         assert rows(cluster.collinear_chains(df, ["c"], "x", "y", 9.0, least), "block", "x", "y", "place") == sorted(brute_chains(pts, 9.0, least), key=repr)
+
+
+def test_transitive_reduction_over_any_path(spark):
+    chain = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "d"), ("a", "d"), ("d", "e"), ("x", "y"), ("y", "x")], "src string, dst string")
+    left = graph.transitive_reduction(chain)
+    assert rows(left) == [("a", "b"), ("b", "c"), ("c", "d"), ("d", "e"), ("x", "y"), ("y", "x")] == rows(graph.unique_successors(left), "src", "dst")
+    assert ("a", "d") in rows(graph.transitive_reduction(chain, steps=3))  # a and b are searched, not c
+    rng = random.Random(9)
+    edges = sorted({tuple(sorted(rng.sample(range(40), 2))) for _ in range(130)})
+    go = {v: {b for a, b in edges if a == v} for v in range(40)}
+    reach = {v: set() for v in range(40)}
+    for v in reversed(range(40)):
+        reach[v] = go[v].union(*(reach[w] for w in go[v]))
+    want = [(a, b) for a, b in edges if not any(b in reach[w] for w in go[a] - {b})]
+    got = graph.transitive_reduction(spark.createDataFrame(edges, "src int, dst int"))
+    assert rows(got) == sorted(want, key=repr) and len(want) < len(edges)
+    ring = spark.createDataFrame([(a, b) for a in range(6) for b in range(6) if a != b], "src int, dst int")
+    left = rows(graph.transitive_reduction(ring))
+    seen = {0}
+    for _ in range(6):
+        seen |= {b for a, b in left if a in seen}
+    assert len(left) < 12 and seen == set(range(6)) and {b for _, b in left} == set(range(6))
