@@ -6,8 +6,8 @@ Learning (``learn``):
    beginnings of 4 to 8 bytes. Labelled rows: the ``SAMPLE`` rows (a documented bound) with
    the least hash of doc_id of those the caller lets it learn from, equal texts once.
    Four fifths of them teach token scores, the rest calibrates.
-2. Tokens in four toxic sample texts or more are candidates (``CANDIDATES`` at most, the most
-   frequent ones). One pass over all documents counts how many texts hold each: these
+2. Tokens in four toxic sample texts or more are candidates, all of them: the sample bounds their
+   number. One pass over all documents counts how many texts hold each: these
    corpus counts are the Dirichlet prior of the log-odds ratio of toxic and other texts.
 3. Tokens whose log-odds are at least ``LEAST_ODDS``, and ``LEAST_Z`` standard errors above 0 by a
    likelihood ratio of the two counts (none in other texts is evidence, not a lack of it), score
@@ -42,7 +42,6 @@ from .common import read_table, text_docs
 from .repeats import CHUNK_BYTES, _buffers, _groups, _power, _sums
 
 SAMPLE = 20_000
-CANDIDATES = 65_536
 LEAST_TEXTS = 4
 LEAST_Z = 3.5
 LEAST_ODDS = 2.0
@@ -269,7 +268,7 @@ def learn(docs: DataFrame, labels: DataFrame, allowed: Column, sample: int = SAM
     pick = lambda df, toxic: df.where(F.col("toxic") if toxic else ~F.col("toxic")).select("doc_id", "text")
     try:
         fresh = pick(teach, True).mapInArrow(_count_new, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_TEXTS)
-        top = fresh.orderBy(F.col("n").desc(), "key").limit(CANDIDATES).collect()
+        top = fresh.collect()
         if not top:
             return Model(np.zeros(0, np.uint64), np.zeros(0))
         keys = np.array([r.key for r in top], np.int64).view(np.uint64)

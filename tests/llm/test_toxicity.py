@@ -84,3 +84,12 @@ def test_words_in_a_thousandth_of_documents(spark):
     assert sum(got[i] for i in range(20)) >= 18 and sum(got[i] for i in range(20, 200)) <= 2
     z = toxicity.evidence(np.array([180.0, 180.0, 16.0, 1.0]), 1800, np.array([0.0, 1.0, 0.0, 8.0]), 14200)
     assert z[0] > z[1] > toxicity.LEAST_Z and z[2] > toxicity.LEAST_Z > z[3]
+
+
+def test_every_token_is_a_candidate(spark):
+    signs = "abcdefghijklmnopqrstuvwxyz0123456789+-/=@_"
+    stop_words = " ".join(a + b + c for a in signs for b in signs for c in signs[:38])  # over 65,536, in every text
+    docs = [(i, f"{stop_words} {'zq' if i < 20 else 'en'} {i}") for i in range(48)]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    model = toxicity.learn(d, spark.createDataFrame([(i, int(i < 24)) for i in range(48)], "doc_id long, toxic int"), F.lit(True))
+    assert len(model.keys) == 1 and model.scores[0] > toxicity.LEAST_ODDS
