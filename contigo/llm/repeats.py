@@ -12,18 +12,23 @@ first thinned by their leading tokens, without losing a match:
    within the run; all others go. What is left fetches its bytes from the texts, equal runs
    of bytes of one task once.
 3. ``repartitionByRange`` on (token, bytes) samples splitters and deals the runs to buckets in
-   order. Each bucket sorts the heads of its suffixes by token, then fingerprint, and equal
-   neighbours are repeats.
+   order. Each bucket sorts the heads of its suffixes by token, then by multikey quicksort over
+   their bytes, eight at a time: groups whose next eight bytes differ are parted, all at once, and
+   heads alone in their group are done. Heads still together after LENGTH bytes are repeats.
 4. Tokens that touch a bucket's edge, or have too many runs for one task's memory, are compared
    across buckets: heads that are single so far, and one each of those that repeat, are dealt by
-   token and fingerprint in parts of some ``PART_HEADS``, and equal ones in a part are repeats.
-
-Fingerprints are 64-bit and only compared under one token. No task holds more than a bounded
-number of runs; a token with any number of runs is counted by the shuffle of step 4.
-
-Edge cases: null text is empty; texts under LENGTH bytes keep all; repeated rows are
-repeats of each other (rows with one doc_id too: give rows unique ids, spans are by doc_id);
-an empty table gives no rows; other columns aren't read.
+   token and digest in parts of some ``PART_HEADS``, and equal ones in a part are repeats.
+
+Within a bucket bytes are compared; across buckets 128-bit BLAKE2 digests of the heads under one
+token stand for them. No task holds more than a bounded number of runs; a token with any number
+of runs is counted by the shuffle of step 4. What the buckets found is written to the shared
+folder, as the lazy result reads it.
+
+Edge cases: null text is empty; texts under LENGTH bytes keep all; very long texts are hashed
+whole, as ranges of their own; repeated rows are repeats of each other (rows with one doc_id too:
+give rows unique ids, spans are by doc_id); rows with a null doc_id keep
+all their bytes and aren't compared, as spans are by doc_id; ties don't matter, as spans don't depend on the order of rows; an
+empty table gives no rows; other columns aren't read.
 """
 
 from __future__ import annotations
@@ -37,7 +42,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import free_shuffles, read_table, text_docs
+from .common import Staging, free_shuffles, read_table, text_docs
 
 LENGTH = 400
 GRAM = 64
@@ -47,10 +52,6 @@ CHUNK_RUNS = 2_000
 MOST_RUNS = 4_000
 PART_HEADS = 20_000
 
-#: The last call's table of repeats stays on disk, as its result is lazy; the one before is given up.
-KEPT_RESULTS = 1
-_found: list[DataFrame] = []
-
 _rng = np.random.default_rng(10)
 _BYTE = _rng.integers(0, 1 << 64, 256, np.uint64, endpoint=False)
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -185,6 +186,44 @@ def _union(starts: np.ndarray, length: int) -> tuple[list[int], list[int]]:
     return starts[np.concatenate([[0], cut + 1])].tolist(), (starts[np.concatenate([cut, [len(starts) - 1]])] + length).tolist()
 
 
+def _words(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as a number, in their order; zeros follow the last byte."""
+    wide = np.concatenate([data, np.zeros(8, np.uint8)])
+    return np.ndarray((len(data),), ">u8", wide, strides=(1,)).astype(np.uint64)
+
+
+def equal_heads(words: np.ndarray, at: np.ndarray, token: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Heads (indices into at) that equal another under their token over so many bytes, in order, and where each group of equal ones begins.
+
+    Multikey quicksort, eight bytes a step: only groups whose next bytes differ are sorted further.
+    """
+    order = np.lexsort((words[at], token))
+    key, new = words[at[order]], np.ones(len(at), bool)
+    new[1:] = (key[1:] != key[:-1]) | (token[order][1:] != token[order][:-1])
+    starts = np.flatnonzero(new)
+    depth = 0
+    while True:
+        sizes = np.diff(np.append(starts, len(order)))
+        keep = sizes > 1  # those alone are done
+        if not keep.all():
+            order, sizes = order[np.repeat(keep, sizes)], sizes[keep]
+            starts = np.cumsum(sizes) - sizes
+        if not len(order) or depth + 8 >= length:
+            return order, starts
+        depth = min(depth + 8, length - 8)
+        key = words[at[order] + depth]
+        split = np.logical_or.reduceat(key != np.repeat(key[starts], sizes), starts)
+        if split.any():
+            some = np.flatnonzero(np.repeat(split, sizes))
+            group = np.repeat(np.arange(len(starts)), sizes)
+            inner = np.lexsort((key[some], group[some]))
+            order[some], key[some] = order[some][inner], key[some][inner]
+            new = np.zeros(len(order), bool)
+            new[starts] = True
+            new[1:] |= key[1:] != key[:-1]
+            starts = np.flatnonzero(new)
+
+
 _OUT = "token long, mark long, part int, heads array<long>, marks array<long>, ats array<int>, docs array<long>, firsts array<int>, starts array<int>, ends array<int>"
 _LONGS, _INTS = pa.list_(pa.int64()), pa.list_(pa.int32())
 _OUT_TYPES = [pa.int64(), pa.int64(), pa.int32(), _LONGS, _LONGS, _INTS, _LONGS, _INTS, _INTS, _INTS]
@@ -200,30 +239,21 @@ def _compare(length: int, most_runs: int, part_heads: int):
     """Step 3, over a bucket in order of token. Rows out: (docs, firsts, starts, ends) of repeats found here;
     and for step 4 (token, mark, docs, firsts) of runs and (token, part, heads, marks, ats) of their heads."""
 
-    def heads(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Fingerprint, run and place of each head."""
-        sizes = np.array([len(p) for p in parts])
-        ends = np.cumsum(sizes)
-        h = _hashes(_sums(np.frombuffer(b"".join(parts), np.uint8)), length)
-        run = np.repeat(np.arange(len(parts)), sizes)[: len(h)]
-        at = np.arange(len(h)) - (ends - sizes)[run]
-        ok = at + length <= sizes[run]
-        return h[ok], run[ok], at[ok]
-
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _OUT_TYPES)], _OUT_NAMES)
 
     def local(rows: list[tuple], all_here: bool = True) -> Iterator[pa.RecordBatch]:
         """rows: all runs of some tokens, or (not all_here) some runs of one token, which others may hold too."""
-        h, run, at = heads([r[2] for r in rows])
+        sizes = np.array([len(r[2]) for r in rows])
+        ends = np.cumsum(sizes)
+        data = b"".join(r[2] for r in rows)
+        run = np.repeat(np.arange(len(rows)), np.maximum(sizes - length + 1, 0))
+        at = np.arange(len(run)) - np.searchsorted(run, np.arange(len(rows)))[run]  # heads of a run stand side by side
+        place = at + (ends - sizes)[run]
         token, n = np.array([r[0] for r in rows]), np.array([len(r[3]) for r in rows])
-        key = token[run]
-        order = np.lexsort((h, key))
-        new = np.ones(len(h), bool)
-        new[1:] = (h[order][1:] != h[order][:-1]) | (key[order][1:] != key[order][:-1])
-        group = np.cumsum(new) - 1
-        again = np.zeros(len(h), bool)
-        again[order] = np.bincount(group, n[run][order])[group] > 1
+        group, starts = equal_heads(_words(np.frombuffer(data, np.uint8)), place, token[run], length)
+        again = n[run] > 1
+        again[group] = True
         out, bounds = [], np.searchsorted(run, np.arange(len(rows) + 1))
         some = np.add.reduceat(again, bounds[:-1]) > 0
         for k in np.flatnonzero(some):
@@ -234,23 +264,26 @@ def _compare(length: int, most_runs: int, part_heads: int):
         if all_here:
             return
         # for step 4: heads that are single so far, with their runs, and repeats found here once each, with place -1
-        first = order[new]
-        known, single = first[again[first]], np.flatnonzero(~again)
+        alone_here = again.copy()
+        alone_here[group] = False  # its copies are rows of one run
+        known, single = np.concatenate([group[starts], np.flatnonzero(alone_here)]), np.flatnonzero(~again)
         alone = [rows[k] for k in np.unique(run[single])]
         if alone:
             yield batch_of([(r[0], r[1], None, None, None, None, r[3], r[4], None, None) for r in alone])
         marks, bits = np.array([r[1] for r in rows], np.int64), _part_bits(rows[0][5], part_heads)
         pick = np.concatenate([single, known])
         place = np.concatenate([at[single], np.full(len(known), -1)])
-        part = (h[pick] >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(pick), np.int64)
+        view = memoryview(data)
+        h = np.frombuffer(b"".join([hashlib.blake2b(view[a : a + length], digest_size=16).digest() for a in (at[pick] + (ends - sizes)[run[pick]]).tolist()]), np.uint64).reshape(-1, 2)
+        part = (h[:, 0] >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(pick), np.int64)
         order = np.argsort(part, kind="stable")
-        pick, place, part = pick[order], place[order].astype(np.int32), part[order]
+        pick, place, part, h = pick[order], place[order].astype(np.int32), part[order], h[order]
         cuts = np.flatnonzero(np.diff(part, prepend=-1))
-        ends = np.append(cuts, len(part)).astype(np.int32)
-        lists = lambda x: pa.ListArray.from_arrays(pa.array(ends), pa.array(x))
+        stops = np.append(cuts, len(part)).astype(np.int32)
+        lists = lambda x, wide=1: pa.ListArray.from_arrays(pa.array(stops * wide), pa.array(x))
         m = len(cuts)
         if m:
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(m, rows[0][0])), pa.nulls(m, pa.int64()), pa.array(part[cuts].astype(np.int32)), lists(h[pick].view(np.int64)), lists(marks[run[pick]]), lists(place), *[pa.nulls(m, t) for t in _OUT_TYPES[6:]]], _OUT_NAMES)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(m, rows[0][0])), pa.nulls(m, pa.int64()), pa.array(part[cuts].astype(np.int32)), lists(h.view(np.int64).ravel(), 2), lists(marks[run[pick]]), lists(place), *[pa.nulls(m, t) for t in _OUT_TYPES[6:]]], _OUT_NAMES)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: list[tuple] = []  # whole tokens
@@ -287,9 +320,10 @@ def _across(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def repeats(token: int, rows: list) -> Iterator[pa.RecordBatch]:
         head, mark, at = (np.concatenate([r[k] for r in rows]) for k in range(3))
-        order = np.argsort(head, kind="stable")
+        head = head.reshape(-1, 2)
+        order = np.lexsort((head[:, 1], head[:, 0]))
         head, mark, at = head[order], mark[order], at[order]
-        same = head[1:] == head[:-1]
+        same = (head[1:] == head[:-1]).all(axis=1)
         again = (np.append(same, False) | np.append(False, same)) & (at >= 0)
         if again.any():
             mark, at = mark[again], at[again]
@@ -314,8 +348,8 @@ def _across(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def repeat_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most_runs: int = MOST_RUNS, part_heads: int = PART_HEADS) -> DataFrame:
     """doc_id, spans array<struct<start, end>> of bytes that repeats cover (not merged, not in order); documents without any have no row."""
-    spark, texts = docs.sparkSession, text_docs(docs)
-    # Tables that are read more than once are kept on the executors' disks; what a lost executor held is made again from the texts.
+    spark, texts = docs.sparkSession, text_docs(docs).where("doc_id IS NOT NULL")
+    # Tables that are read twice here are kept on the executors' disks; what a lost executor held is made again from the texts.
     keep = lambda df: df.persist(StorageLevel.DISK_ONLY)
     runs = keep(texts.mapInArrow(_runs(length, gram), "token long, doc_id long, first int, last int, twice boolean"))
     again = runs.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.max("twice").alias("twice")).where("n > 1 OR twice").select("token", "n")
@@ -324,17 +358,10 @@ def repeat_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most_r
     parts = keep(fetched.mapInArrow(_bytes_of_runs(length), "token long, mark long, bytes binary, docs array<long>, firsts array<int>, n long"))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = parts.repartitionByRange(n, "token", "mark").sortWithinPartitions("token")  # samples the parts, so they are made here
-    found = keep(buckets.mapInArrow(_compare(length, most_runs, part_heads), _OUT))
-    found.count()
+    found = Staging(spark, "repeats").write(buckets.mapInArrow(_compare(length, most_runs, part_heads), _OUT), "found")
     runs.unpersist()
     parts.unpersist()
-    _found.append(found)
-    for old in _found[:-KEPT_RESULTS]:
-        try:
-            old.unpersist()
-        except Exception:  # noqa: BLE001  its session has ended, and its blocks with it
-            pass
-    del _found[:-KEPT_RESULTS], runs, again, kept, fetched, parts, buckets
+    del runs, again, kept, fetched, parts, buckets
     free_shuffles(spark)
 
     here = found.where("token IS NULL").select(F.arrays_zip("docs", "firsts").alias("m"), F.arrays_zip("starts", "ends").alias("s"))

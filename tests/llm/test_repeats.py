@@ -46,3 +46,46 @@ def test_sliding_min():
     x = np.random.default_rng(0).integers(0, 50, 1000).astype(np.uint64)
     for w in (1, 7, 337, 1000):
         assert (repeats._sliding_min(x, w) == [x[j : j + w].min() for j in range(1000 - w + 1)]).all()
+
+
+def test_equal_heads_compares_bytes():
+    import numpy as np
+
+    rng = random.Random(3)
+    for length in (8, 13, 24, 40):
+        data = bytes(rng.choice(b"ab") for _ in range(3000))
+        at = np.array(sorted(rng.sample(range(3000 - length), 900)))
+        token = np.array([rng.randrange(2) for _ in at])
+        order, starts = repeats.equal_heads(repeats._words(np.frombuffer(data, np.uint8)), at, token, length)
+        got = sorted(sorted(g.tolist()) for g in np.split(order, starts[1:])) if len(order) else []
+        want = {}
+        for k, (a, t) in enumerate(zip(at.tolist(), token.tolist())):
+            want.setdefault((t, data[a : a + length]), []).append(k)
+        assert got == sorted(g for g in want.values() if len(g) > 1)
+
+
+def test_registered_query(spark):
+    """op10_repeats on the whole smallest table, against every 400-byte string of it."""
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()
+    data = [(r.text or "").encode() for r in rows]
+    n = Counter(hash(d[i : i + 400]) for d in data for i in range(len(d) - 399))
+    got = {r.doc_id: r for r in repeats.op10_repeats(spark, "/root/testdata/sf0.001").collect()}
+    assert len(got) == len(rows)
+    for r, d in zip(rows, data):
+        gone = bytearray(len(d))
+        for i in range(len(d) - 399):
+            if n[hash(d[i : i + 400])] > 1:
+                gone[i : i + 400] = b"\x01" * 400
+        kept = bytes(x for x, g in zip(d, gone) if not g)
+        spans = sum(1 for i, g in enumerate(gone) if g and (i == 0 or not gone[i - 1]))
+        x = got[r.doc_id]
+        assert (x.n_bytes, x.n_removed, x.n_spans, x.kept_sha256) == (len(d), sum(gone), spans, hashlib.sha256(kept).hexdigest())
+    assert sum(x.n_removed > 0 for x in got.values()) > 10
+
+
+def test_null_ids_clashing_columns_and_long_texts(spark):
+    long = "".join(random.Random(1).choice("abcdefgh ") for _ in range(300_000))
+    rows = [(None, long[:500], 1), (1, long, 2), (2, "", 3), (3, long[1000:2000], 4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, spans int")
+    got = {r.doc_id: r.n_removed for r in repeats.remove_repeats(df, keep_bytes=False).collect()}
+    assert got == {None: 0, 1: 1000, 2: 0, 3: 1000}
