@@ -7,9 +7,11 @@ per pixel, chunky or planar. The writer makes the same kinds; ``text_image`` sto
 8-bit grey pages, 64 wide.
 
 Edge cases: null content gives one row with page -1 and error "no content"; what isn't a
-TIFF, is cut off, loops or uses another kind of compression gives the pages before the fault and
-then a row with page -1 and the fault; repeated rows give their pages each; an empty table gives no
-rows; other columns aren't read.
+TIFF, is cut off, loops, says of a page that it is larger than ``MOST_PAGE`` bytes or uses another
+kind of compression gives the pages before the fault and then a row with page -1 and the fault;
+no part is unpacked further than its page needs. Repeated rows and rows with equal or null ids give
+their pages each; very long texts become many pages; an empty table gives no rows; other columns
+aren't read.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ from .common import read_table, text_docs
 NONE, LZW, DEFLATE, OLD_DEFLATE, PACKBITS = 1, 5, 8, 32946, 32773
 #: Bytes of each field type of the format.
 _TYPE_SIZE = {1: 1, 2: 1, 3: 2, 4: 4, 5: 8, 6: 1, 7: 1, 8: 2, 9: 4, 10: 8, 11: 4, 12: 8}
+#: Bytes of a page above which its header isn't believed.
+MOST_PAGE = 1 << 30
 _TAGS = {"width": 256, "height": 257, "bits": 258, "compression": 259, "photometric": 262, "strip_at": 273, "samples": 277, "rows": 278, "strip_size": 279, "planar": 284, "predictor": 317, "tile_width": 322, "tile_height": 323, "tile_at": 324, "tile_size": 325}
 
 
@@ -40,9 +44,10 @@ class TiffError(ValueError):
 # ---- compression
 
 
-def packbits_decode(data: bytes) -> bytes:
-    out, at, n = [], 0, len(data)
-    while at < n:
+def packbits_decode(data: bytes, most: int = 1 << 62) -> bytes:
+    """most: bytes after which decoding may stop, as in all decoders here."""
+    out, at, n, size = [], 0, len(data), 0
+    while at < n and size < most:
         c = data[at]
         at += 1
         if c < 128:
@@ -50,11 +55,13 @@ def packbits_decode(data: bytes) -> bytes:
                 raise TiffError("PackBits data is cut off")
             out.append(data[at : at + c + 1])
             at += c + 1
+            size += c + 1
         elif c > 128:
             if at >= n:
                 raise TiffError("PackBits data is cut off")
             out.append(data[at : at + 1] * (257 - c))
             at += 1
+            size += 257 - c
     return b"".join(out)
 
 
@@ -77,12 +84,14 @@ def packbits_encode(data: bytes) -> bytes:
     return b"".join(out)
 
 
-def lzw_decode(data: bytes) -> bytes:
+def lzw_decode(data: bytes, most: int = 1 << 62) -> bytes:
     """Most significant bit first, codes grow one entry early, as the format asks."""
     first = [bytes([k]) for k in range(256)] + [b"", b""]
     table, out, width, old = list(first), [], 9, None
-    bits, have = 0, 0
+    bits, have, done = 0, 0, 0
     for byte in data:
+        if done >= most:
+            break
         bits = (bits << 8 | byte) & 0xFFFFFFFF
         have += 8
         if have < width:
@@ -107,6 +116,7 @@ def lzw_decode(data: bytes) -> bytes:
         else:
             raise TiffError("LZW code that isn't known")
         out.append(new)
+        done += len(new)
         table.append(old + new[:1])
         old = new
         size = len(table)
@@ -149,7 +159,11 @@ def lzw_encode(data: bytes) -> bytes:
     return b"".join(out) + (number << pad).to_bytes((length + pad) // 8, "big")
 
 
-_DECODE = {NONE: bytes, LZW: lzw_decode, DEFLATE: zlib.decompress, OLD_DEFLATE: zlib.decompress, PACKBITS: packbits_decode}
+def inflate(data: bytes, most: int = 1 << 62) -> bytes:
+    return zlib.decompressobj().decompress(data, most)
+
+
+_DECODE = {NONE: lambda data, most: bytes(data[:most]), LZW: lzw_decode, DEFLATE: inflate, OLD_DEFLATE: inflate, PACKBITS: packbits_decode}
 _ENCODE = {NONE: bytes, LZW: lzw_encode, DEFLATE: lambda x: zlib.compress(x, 1), OLD_DEFLATE: lambda x: zlib.compress(x, 1), PACKBITS: packbits_encode}
 
 
@@ -211,6 +225,8 @@ def _page(data: bytes, order: str, tags: dict[int, tuple]) -> dict:
         places, sizes = tag("strip_at"), tag("strip_size")
     if not (w and h and width and height):
         raise TiffError("an empty page")
+    if width * height * samples * kind.itemsize > MOST_PAGE or w * h * samples * kind.itemsize > MOST_PAGE:
+        raise TiffError("a page too large to believe")
     across, down = -(-width // w), -(-height // h)
     if len(places) < planes * across * down or len(sizes) < len(places):
         raise TiffError("parts of the page are missing")
@@ -220,11 +236,11 @@ def _page(data: bytes, order: str, tags: dict[int, tuple]) -> dict:
         rows = h if tiled else min(h, height - y)
         if places[k] + sizes[k] > len(data):
             raise TiffError("a part of the page is cut off")
+        need = rows * w * deep * kind.itemsize
         try:
-            raw = _DECODE[codec](data[places[k] : places[k] + sizes[k]])
+            raw = _DECODE[codec](data[places[k] : places[k] + sizes[k]], need)
         except zlib.error as e:
             raise TiffError(f"deflate: {e}") from e
-        need = rows * w * deep * kind.itemsize
         if len(raw) < need:
             raise TiffError("a part of the page is short")
         part = np.frombuffer(raw, kind, rows * w * deep).reshape(rows, w, deep)
@@ -265,7 +281,9 @@ def write_tiff(pages: list[np.ndarray], codec: int = DEFLATE, predictor: int = 1
                         part = whole
                     if predictor == 2:
                         part = np.concatenate([part[:, :1], part[:, 1:] - part[:, :-1]], axis=1)
-                    data = _ENCODE[codec](part.astype(kind).tobytes())
+                    lines = part.astype(kind)
+                    # PackBits packs each row of pixels apart
+                    data = b"".join(packbits_encode(x.tobytes()) for x in lines) if codec == PACKBITS else _ENCODE[codec](lines.tobytes())
                     places.append(size)
                     sizes.append(len(data))
                     data += b"\0" * (len(data) % 2)
@@ -295,15 +313,14 @@ WIDTH, PAGE_ROWS = 64, 1024
 
 
 def text_image(payload: bytes) -> bytes:
-    """Bytes (a positive multiple of 64) as a lossless TIFF: grey pages 64 wide. The kind of file depends on the bytes alone:
-    LZW up to 512 of them, PackBits up to 4096, else deflate with the predictor, in strips or (odd numbers of rows) tiles."""
+    """Bytes (a positive multiple of 64) as a lossless TIFF: grey pages 64 wide. A check sum of the bytes, and not their number, picks
+    the kind of file: LZW, PackBits or deflate in strips, or deflate in tiles, deflate with the predictor."""
     rows = np.frombuffer(payload, np.uint8).reshape(-1, WIDTH)
     pages = [rows[k : k + PAGE_ROWS] for k in range(0, len(rows), PAGE_ROWS)]
-    if len(payload) <= 512:
-        return write_tiff(pages, LZW)
-    if len(payload) <= 4096:
-        return write_tiff(pages, PACKBITS)
-    return write_tiff(pages, DEFLATE, predictor=2, tile=(WIDTH, 64) if len(rows) % 2 else None)
+    kind = zlib.crc32(payload) % 4
+    if kind < 2:
+        return write_tiff(pages, (LZW, PACKBITS)[kind])
+    return write_tiff(pages, DEFLATE, predictor=2, tile=(WIDTH, 64) if kind == 3 else None)
 
 
 def image_feature(pages: list[dict]) -> str:

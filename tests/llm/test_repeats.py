@@ -84,7 +84,8 @@ def test_registered_query(spark):
 
 
 def test_null_ids_clashing_columns_and_long_texts(spark):
-    long = "".join(random.Random(1).choice("abcdefgh ") for _ in range(300_000))
+    rng = random.Random(1)
+    long = "".join(rng.choice("abcdefgh ") for _ in range(300_000))
     rows = [(None, long[:500], 1), (1, long, 2), (2, "", 3), (3, long[1000:2000], 4)]
     df = spark.createDataFrame(rows, "doc_id long, text string, spans int")
     got = {r.doc_id: r.n_removed for r in repeats.remove_repeats(df, keep_bytes=False).collect()}
