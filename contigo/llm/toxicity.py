@@ -6,25 +6,29 @@ Learning (``learn``):
    beginnings of 4 to 8 bytes. Labelled rows: the ``SAMPLE`` rows (a documented bound) with
    the least hash of doc_id of those the caller lets it learn from, equal texts once.
    Four fifths of them teach token scores, the rest calibrates.
-2. Tokens in four toxic sample texts or more are candidates, all of them: the sample bounds their
-   number. One pass over all documents counts how many texts hold each: these
+2. Tokens in ``LEAST_TEXTS`` toxic sample texts or more are candidates, all of them: the sample
+   bounds their number. One pass over all documents counts how many texts hold each: these
    corpus counts are the Dirichlet prior of the log-odds ratio of toxic and other texts.
-3. Tokens whose log-odds are at least ``LEAST_ODDS``, and ``LEAST_Z`` standard errors above 0 by a
-   likelihood ratio of the two counts (none in other texts is evidence, not a lack of it), score
-   their log-odds, all others nothing (in a large sample toxic texts' mere length makes small
-   log-odds significant); every token also costs ``DRIFT``.
+3. Tokens whose log-odds are ``LEAST_ODDS`` or more away from 0 score them with their sign, shrunk by
+   1 - (LEAST_Z / z) ** 2 where z, the standard errors by a likelihood ratio of the two counts (none in
+   other texts is evidence, not a lack of it), is over ``LEAST_Z``; all others score nothing (in a large
+   sample toxic texts' mere length makes small log-odds significant). Of a token's keys the one
+   furthest from 0 counts, and every token also costs ``DRIFT``.
 
 Scoring (``find_passages``): the linear-time scan of Ruzzo and Tompa gives all maximal
-scoring segments of a text. Under the null model (tokens drawn with their rates in texts
+scoring segments of a text. Under the null model (tokens drawn with their rates in teaching texts
 that aren't toxic), scores have an extreme-value distribution (Karlin and Altschul): a segment of
 score S in a text of N tokens is expected exp(log K + log N - lambda * S) times, lambda
-being the root of E[exp(lambda * score)] = 1. Segments with an expectation below ``LEVEL``
-are passages. A logistic curve over the best segment's log expectation and the number of
-passages, fitted on the calibration rows, gives the score.
-
-Edge cases: null and empty texts have no tokens and the lowest score; repeated rows are
-scored each; labels that are null or for rows that don't exist teach nothing; without toxic labels
-every score is 0; an empty table gives no rows; other columns aren't read.
+being the root of E[exp(lambda * score)] = 1. K is the most likely one given the best segments of
+the teaching texts that aren't toxic; texts without any are known to have less than the least
+score of a token. Segments with an expectation below ``LEVEL`` are passages. A logistic curve over
+the best segment's log expectation and the number of passages, fitted on the calibration rows,
+gives the score.
+
+Edge cases: null and empty texts have no tokens and the lowest score; very long texts are scanned
+once, whole; repeated rows and rows with equal or null ids are scored each; ties between equally
+good keys don't change a score; labels that are null or for rows that don't exist teach nothing;
+without toxic labels every score is 0; an empty table gives no rows; other columns aren't read.
 """
 
 from __future__ import annotations
@@ -42,8 +46,8 @@ from .common import read_table, text_docs
 from .repeats import CHUNK_BYTES, _buffers, _groups, _power, _sums
 
 SAMPLE = 20_000
-LEAST_TEXTS = 4
-LEAST_Z = 3.5
+LEAST_TEXTS = 3
+LEAST_Z = 2.0
 LEAST_ODDS = 2.0
 DRIFT = 0.02
 PRIOR = 10.0
@@ -179,6 +183,36 @@ def maximal_segments(scores: list[float]) -> list[tuple[int, int, float]]:
     return [(a, b, r - x) for a, b, x, r in out]
 
 
+def _best_keys(scores: np.ndarray, lookup: Lookup, keys: list[tuple[np.ndarray, np.ndarray]], n: int) -> np.ndarray:
+    """For each of n tokens the place of its key whose score is furthest from 0, -1 without one."""
+    out, far = np.full(n, -1), np.zeros(n)
+    for some, h in keys:
+        i, place = lookup.find(h)
+        token, size = some[i], np.abs(scores[place])
+        more = size > far[token]
+        out[token[more]], far[token[more]] = place[more], size[more]
+    return out
+
+
+def _null_counts(model):
+    """(doc_id, text) to (place, n): tokens whose score is that key's, and place -1: all tokens."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m: Model = model.value
+        lookup, total, words = Lookup(m.keys), np.zeros(len(m.keys), np.int64), 0
+        for batch in batches:
+            offsets, data = _buffers(batch.column(1))
+            for a, b in _groups(offsets, CHUNK_BYTES):
+                first, _, _, keys = tokens(offsets[a : b + 1], data)
+                best = _best_keys(m.scores, lookup, keys, len(first))
+                words += len(first)
+                total += np.bincount(best[best >= 0], minlength=len(total))
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1)), pa.array(np.append(total[some], words))], ["place", "n"])
+
+    return run
+
+
 def _scored(model):
     """(doc_id, text) to (doc_id, words, best, passages)."""
 
@@ -192,15 +226,10 @@ def _scored(model):
                 first, last, text, keys = tokens(offsets[a : b + 1], data)
                 of = np.searchsorted(text, np.arange(b - a + 1))
                 n = np.diff(of)
-                hit, gain = [], []
-                for some, h in keys:
-                    i, place = lookup.find(h)
-                    hit.append(some[i])
-                    gain.append(m.scores[place])
-                best, found = -m.log_k - np.log(np.maximum(n, 1)), [[] for _ in range(b - a)]
-                if hit and sum(map(len, hit)):
-                    value = np.zeros(len(first))
-                    np.maximum.at(value, np.concatenate(hit), np.concatenate(gain))
+                best, found = np.minimum(-m.log_k - np.log(np.maximum(n, 1)), 0), [[] for _ in range(b - a)]  # no segment: no evidence
+                of_key = _best_keys(m.scores, lookup, keys, len(first))
+                if (of_key >= 0).any():
+                    value = np.where(of_key >= 0, m.scores[of_key], 0.0)
                     places = np.flatnonzero(value)
                     for t in np.unique(text[places]):
                         mine = places[(lo := np.searchsorted(places, of[t])) : lo + np.searchsorted(places[lo:], of[t + 1])].tolist()
@@ -208,13 +237,15 @@ def _scored(model):
                         for p in mine:  # tokens without a score between two with one cost DRIFT each
                             row += [-DRIFT * (p - at), value[p] - DRIFT]
                             at = p + 1
+                        top = -math.inf
                         for x, y, s in maximal_segments(row):
                             log_e = m.log_k + math.log(n[t]) - m.rate * s
-                            best[t] = max(best[t], -log_e)
+                            top = max(top, -log_e)
                             if log_e < math.log(LEVEL):
                                 p, q = mine[x // 2], mine[(y - 1) // 2]
                                 begin = int(offsets[a + t] - offsets[a])
                                 found[t].append({"start": int(first[p]) - begin, "end": int(last[q]) - begin, "score": s, "expected": math.exp(log_e)})
+                        best[t] = top if top > -math.inf else best[t]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(n), pa.array(best), pa.array(found, kind)], ["doc_id", "words", "best", "passages"])
 
     return run
@@ -223,7 +254,7 @@ def _scored(model):
 _SCORED = "doc_id long, words long, best double, passages array<struct<start int, end int, score double, expected double>>"
 
 
-def _null_rate(q: np.ndarray, s: np.ndarray) -> float:
+def null_rate(q: np.ndarray, s: np.ndarray) -> float:
     """The positive root of E[exp(lambda * score)] = 1."""
     if not len(q):
         return 1.0
@@ -237,6 +268,15 @@ def _null_rate(q: np.ndarray, s: np.ndarray) -> float:
     return max(lo, 0.05)
 
 
+def null_size(scored: DataFrame, rate: float, least: float) -> float:
+    """log K from texts of the null model, scored with K = 1: the most likely K for best segments S of N tokens, whose chance of staying
+    below x is exp(-K * N * exp(-rate * x)); texts without a segment have stayed below the least score."""
+    gain = F.col("best") + F.log(F.greatest("words", F.lit(1)).cast("double"))  # rate * S
+    some = gain > 1e-9
+    r = scored.where("words > 0").agg(F.count_if(some).alias("n"), F.sum(F.col("words") * F.exp(-F.when(some, gain).otherwise(F.lit(rate * least)))).alias("s")).first()
+    return math.log((r.n + 0.5) / r.s) if r.s else 0.0
+
+
 def _logistic(x: np.ndarray, y: np.ndarray) -> tuple:
     """Logistic curve over columns of x with a small ridge, by Newton's method."""
     x = np.column_stack([np.ones(len(x)), x])
@@ -291,9 +331,15 @@ def learn(docs: DataFrame, labels: DataFrame, allowed: Column, sample: int = SAM
         n1 = pick(teach, True).count()
         prior = PRIOR * (every + 0.01) / (n_every + 1)
         odds = np.log((y1 + prior) / (n1 + PRIOR - y1 - prior)) - np.log((y0 + prior) / (n0 + PRIOR - y0 - prior))
-        take = (evidence(y1, n1, y0, n0) >= LEAST_Z) & (odds >= LEAST_ODDS)
-        model = Model(keys[take], odds[take])
-        model.rate = _null_rate((y0[take] + prior[take]) / max(words0, 1) / (1 + len(BEGINNINGS)), odds[take])
+        z = evidence(y1, n1, y0, n0)
+        take = (np.abs(z) > LEAST_Z) & (np.abs(odds) >= LEAST_ODDS)
+        model = Model(keys[take], odds[take] * (1 - (LEAST_Z / z[take]) ** 2))
+        if take.any():
+            clean = pick(teach, False)
+            null = {r.place: r.n for r in clean.mapInArrow(_null_counts(spark.sparkContext.broadcast(model)), "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).collect()}
+            seen = np.array([null.get(k, 0) for k in range(len(model.keys))]) + prior[take]
+            model.rate = null_rate(seen / max(null.get(-1, 0) + prior[take].sum(), 1), model.scores)
+            model.log_k = null_size(clean.mapInArrow(_scored(spark.sparkContext.broadcast(model)), _SCORED), model.rate, float(np.abs(model.scores).min()) - DRIFT)
         shared = spark.sparkContext.broadcast(model)
         held = rows.where(F.pmod(F.shiftright("h", 20), 5) == 0)
         got = pick(held, True).mapInArrow(_scored(shared), _SCORED).select("best", F.size("passages").alias("p"), F.lit(1.0).alias("y"))
