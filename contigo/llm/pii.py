@@ -1,10 +1,11 @@
 """Personal data replaced by surrogates of the same type and format, by a keyed one-to-one mapping.
 
 Detected: e-mail addresses, telephone numbers (international; national ones with brackets, a leading
-0 or 1, or in groups of 3, 3 and 4 digits), IPv4 addresses, payment card numbers (with a valid
+0 or 1, or in groups of 3, 3 and 4 digits), IPv4 and IPv6 addresses, payment card numbers (with a valid
 check digit), IBANs (with a valid check number), US social security numbers, MAC addresses,
 secrets assigned to a key word (token, key, password, ...) with quotes or without, long hexadecimal or prefixed access
-keys, and personal names after a title.
+keys, dates of birth after words that say so, street addresses, and personal names: after a title, with a
+listed given name before them, and every later or earlier mention of a word of such a name in the same text.
 
 Every type has a finite set of values of the same format. A keyed Feistel network permutes
 that set (values outside it are walked over), so the surrogate of an entity
@@ -13,24 +14,29 @@ that set (values outside it are walked over), so the surrogate of an entity
 * is never the surrogate of another entity (distinctness), without a table of all entities;
 * is not the entity itself: the step of the permuted order has no fixed point;
 * keeps length, separators, letter case, script (Latin, Greek, Cyrillic; vowels stay vowels),
-  check digits, address class and country; given names keep their gender.
+  check digits, address class and country; listed given names keep their gender, and other names
+  their last letter, which marks it in many languages. Names are mapped word by word, so that a
+  surname alone has the surrogate that it has after a given name.
 
 ``collisions`` checks that over a whole corpus all the same, by grouping distinct hashed
-entities by surrogate, and within each document ``n_collisions`` counts surrogates that two
-entities share or that stand elsewhere in the text.
+entities by surrogate (``op9_pii_surrogates`` runs it and returns ``n_shared``), and within each
+document ``n_collisions`` counts surrogates that two entities share or that stand elsewhere in the text.
 
 Where a surrogate would equal another entity of the same text, that is no collision of
 surrogates: the other is replaced as well. Where it equals text that stays, the text is of
 another kind, and ``n_collisions`` says so.
 
 Edge cases: null stays null with 0 entities, empty texts stay empty; texts without entities are
-returned as they are; repeated rows get equal results; an empty table gives no rows; other
-columns aren't read. Very long texts are scanned once, left to right.
+returned as they are; repeated rows, and rows with equal or null ids, get results of their own;
+of patterns that begin at one place the first in ``PATTERNS`` counts; an empty table gives no rows;
+other columns aren't read. Very long texts are scanned whole, left to right.
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
+import ipaddress
 import re
 from collections.abc import Callable, Iterable, Iterator
 
@@ -38,10 +44,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table
+from .common import Staging, read_table
 
 #: Stands for a secret of the caller's own; whoever knows it can undo the mapping.
 DEMO_KEY = b"replace this key"
+#: The session's setting that holds it.
+KEY_SETTING = "spark.contigo.pii.key"
 ROUNDS = 6
 
 
@@ -232,13 +240,61 @@ def _name(m: Mapping, text: str) -> str:
             names, k = _GIVEN[word]
             out.append(names[m.step(b"given" + names[0].encode(), len(names), k)])
         else:
-            new = _by_shape(m, b"name", word)
+            keep = 1 if len(word) > 2 else 0
+            purpose = b"name" + word[len(word) - keep :].encode()
+            change = lambda w: _by_shape(m, purpose, w[: len(w) - keep]) + w[len(w) - keep :]  # noqa: B023, E731
+            new = change(word)
             while new in _GIVEN:
-                new = _by_shape(m, b"name", new)
+                new = change(new)
             out.append(new)
     return " ".join(out)
 
 
+def _ip6(m: Mapping, text: str) -> str:
+    head, colon, rest = text.partition(":")  # the first group tells the kind of address
+    return head + colon + _by_shape(m, b"ip6" + head.lower().encode(), rest, hexadecimal=True)
+
+
+def _birth(m: Mapping, text: str) -> str:
+    """Numbers up to 12 stay so, and so do those from 13 to 28, so that the order of day and month doesn't matter; days from 29 on go with months
+    that have them; years stay within their decade."""
+    parts = re.findall(r"\d+", text)
+    numbers = [int(x) for x in parts]
+    year = next((k for k, x in enumerate(parts) if len(x) == 4), len(parts) - 1)
+    days = [x for k, x in enumerate(numbers) if k != year]
+    late = max(days) > 28
+    february = late and (2 in days or re.search("(?i)f[eé][bv]", text) is not None)
+    months = [1, 3, 5, 7, 8, 10, 12] if 31 in days else [1, *range(3, 13)]
+    sets = []
+    for k, x in enumerate(numbers):
+        if k == year:
+            sets.append([x] if february else [x // 10 * 10 + d for d in range(10)])
+        elif late and 0 < x < 13:
+            sets.append([x] if february or x not in months else months)
+        else:
+            sets.append(list(range(1, 13)) if 0 < x < 13 else list(range(13, 29)) if 12 < x < 29 else [x])
+    n, k = 1, 0
+    for x, values in zip(numbers, sets):
+        n, k = n * len(values), k * len(values) + values.index(x)
+    k, out = m.step(b"birth" + repr([v[0] for v in sets]).encode() + re.sub(r"\d", "0", text).encode(), n, k), []
+    for values in reversed(sets):
+        k, i = divmod(k, len(values))
+        out.append(values[i])
+    at = iter(reversed(out))
+    return re.sub(r"\d+", lambda x: f"{next(at):0{len(x[0])}d}", text)
+
+
+def _street(m: Mapping, text: str) -> str:
+    def change(x: re.Match) -> str:
+        word = x[0]
+        if word in STREET_WORDS:
+            return word
+        tail = next((t for t in STREET_TAILS if word.endswith(t) and word != t), "")
+        return _by_shape(m, b"street", word[: len(word) - len(tail)]) + tail
+
+    return re.sub(r"\w+", change, text)
+
+
 _HEXES = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 
 
@@ -260,12 +316,22 @@ _KEY_WORD = r"(?i:token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key|priv
 #: A character of a value without quotes: marks only before another one.
 _BARE = r"(?:[^\s\"'`<>,;&(){}\[\].:!?=]|[.:!?=](?=[^\s\"'`<>,;&(){}\[\]]))"
 
+#: Words and endings of street names, in English, German, French and Spanish. Fixed values.
+STREET_WORDS = set("Street St Avenue Ave Road Rd Lane Ln Boulevard Blvd Drive Court Square Terrace rue Rue avenue boulevard Calle Avenida Plaza de la del du des".split())
+STREET_TAILS = ("straße", "strasse", "gasse", "allee", "platz", "weg")
+_WORD = r"[A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ]+"
+_MONTH = r"(?:Jan(?:uary)?|Feb(?:ruary)?|Mar(?:ch)?|Apr(?:il)?|May|June?|July?|Aug(?:ust)?|Sept?(?:ember)?|Oct(?:ober)?|Nov(?:ember)?|Dec(?:ember)?|Januar|Februar|März|Mai|Juni|Juli|Oktober|Dezember|janvier|février|mars|avril|mai|juin|juillet|août|septembre|octobre|novembre|décembre|enero|febrero|marzo|abril|mayo|junio|julio|agosto|septiembre|octubre|noviembre|diciembre)"
+_DATE = r"(?:(?:19|20)\d\d-\d\d-\d\d|\d{1,2}([./\-])\d{1,2}%s(?:19|20)?\d\d|\d{1,2}\.? (?:de )?" + _MONTH + r"(?: de)?,? (?:19|20)\d\d|" + _MONTH + r" \d{1,2},? (?:19|20)\d\d)(?!\d)"
+
 #: type -> pattern; of those that begin at one place the first one counts. An entity is group 1 where there is one.
 PATTERNS = {
     "email": r"[A-Za-z0-9_.+\-À-ÖØ-öø-ÿ]+@(?:[A-Za-z0-9](?:[A-Za-z0-9\-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,}",
-    "secret": _KEY_WORD + r"(?:\w*[\"']?\s*(?::=|=>|[:=])\s*[\"']([^\s\"']{6,})[\"']|(?![A-Za-z])(?:[_-]?\w+)?[\"']?\s*(?::=|=>|=(?!=)|:(?=\s*(?i:bearer\s+|basic\s+)?" + _BARE + r"*\d))\s*(?i:bearer\s+|basic\s+)?(" + _BARE + r"{6,}+)(?![(\[]))",
+    "secret": _KEY_WORD + r"(?:\w*[\"']?\s*(?::=|=>|[:=])\s*[\"']([^\s\"']{6,})[\"']|(?![A-Za-z])(?:[_-]?\w+)?[\"']?\s*(?::=|=>|=(?!=)|:(?=\s*(?i:bearer\s+|basic\s+)?" + _BARE + r"*\d))\s*(?i:bearer\s+|basic\s+)?(" + _BARE + r"{6,}+)(?![(\[])|(?<=password)[ \t]*:[ \t]+(" + _BARE + r"{6,}+)(?=[ \t]*(?:[\r\n]|\Z)))",
     "access_key": r"(?<![A-Za-z0-9])(?:(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,}|xox[abprs]-[A-Za-z0-9\-]{10,}|AIza[A-Za-z0-9_\-]{35}|[0-9a-f]{32,}|[0-9A-F]{32,})(?![A-Za-z0-9])",
     "mac": r"(?<![\w:])(?:[0-9A-F]{2}:){5}[0-9A-F]{2}(?![\w:])|(?<![\w:])(?:[0-9a-f]{2}:){5}[0-9a-f]{2}(?![\w:])",
+    "ip6": r"(?<![\w:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6})(?![\w:]|\.\d)",
+    "birth": r"(?i:\b(?:born(?: on)?|date of birth|dob|birth ?date|geboren(?: am)?|geburtsdatum|née? le|date de naissance|nacid[oa] el|fecha de nacimiento))\s*:?\s+(" + _DATE % r"\2" + ")",
+    "street": r"(?<![\w.,\-])\d{1,5} (?:" + _WORD + r" ){1,3}(?:Street|St|Avenue|Ave|Road|Rd|Lane|Ln|Boulevard|Blvd|Drive|Court|Square|Terrace)(?!\w)|(?<!\w)[A-ZÄÖÜ][a-zäöüß]+(?:straße|strasse|gasse|allee|platz|weg) \d{1,4}[a-z]?(?!\w)|(?<![\w.,\-])\d{1,4},? (?:rue|avenue|boulevard) (?:de la |du |des |de )?" + _WORD + r"(?!\w)|(?<!\w)(?:Calle|Avenida|Plaza) (?:de la |del |de )?" + _WORD + r",? \d{1,4}(?!\w)",
     "iban": r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
     "ip": r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w]|\.\d)",
     "ssn": r"(?<![\w\-])\d{3}-\d{2}-\d{4}(?![\w\-])",
@@ -278,17 +344,32 @@ PATTERNS = {
     )),
     "name": r"(?<!\w)(?:" + "|".join(re.escape(t) for t in TITLES.split()) + r")\.? ((?:[A-ZÀ-ÖØ-ÞΆ-ΏΑ-ΫА-ЯЁ][a-zß-öø-ÿά-ώа-яё]+)(?:[ ][A-ZÀ-ÖØ-ÞΆ-ΏΑ-ΫА-ЯЁ][a-zß-öø-ÿά-ώа-яё]+)?)",
 }
+
+
+def _is_ip6(text: str) -> bool:
+    try:
+        ipaddress.IPv6Address(text)
+    except ValueError:
+        return False
+    return text.count(":") > 2 and any(c.isdigit() for c in text) and len(set(text)) > 2
+
+
 _CHECK: dict[str, Callable[[str], bool]] = {
     "card": lambda t: 13 <= len(_digits(t)) <= 19 and luhn(_digits(t)) == 0 and len(set(_digits(t))) > 1,
     "iban": lambda t: iban_rest(t.replace(" ", "")) == 1,
     "ssn": lambda t: _ssn_ok(_digits(t)),
+    "ip6": lambda t: _is_ip6(t),
 }
-_MAKE = {"email": _email, "secret": _secret, "access_key": _secret, "mac": _mac, "iban": _iban, "ip": _ip, "ssn": _ssn, "card": _card, "phone": _phone, "name": _name}
-_ALL = re.compile("|".join(f"(?P<{k}>{p})" for k, p in PATTERNS.items() if k != "name"))
+_MAKE = {"email": _email, "secret": _secret, "access_key": _secret, "mac": _mac, "iban": _iban, "ip": _ip, "ssn": _ssn, "card": _card, "phone": _phone, "name": _name, "ip6": _ip6, "birth": _birth, "street": _street}
+#: Without the pattern's own groups, whose numbers differ in one long pattern; a date's two separators are compared by _ONE.
+_ALL = re.compile("|".join(f"(?P<{k}>{p.replace(chr(92) + '2', '[./' + chr(92) + '-]')})" for k, p in PATTERNS.items() if k != "name"))
 _NAMES = re.compile(PATTERNS["name"])
+_CAPITAL = r"[A-ZÀ-ÖØ-ÞΆ-ΏΑ-ΫА-ЯЁ][a-zß-öø-ÿά-ώа-яё]+"
+_FULL_NAMES = re.compile(r"(?<!\w)(?:" + "|".join(sorted(_GIVEN, key=len, reverse=True)) + r") " + _CAPITAL + r"(?!\w)")
+_GIVEN_WORD = re.compile(r"(?<!\w)(?:" + "|".join(sorted(_GIVEN, key=len, reverse=True)) + r") [A-ZÀ-ÖØ-ÞΆ-ΏΑ-ΫА-ЯЁ]")
 _ONE = {k: re.compile(p) for k, p in PATTERNS.items()}
 #: Without one of these a text holds no entity: digits, an address sign, a title before a capital, or a key word.
-_ANY = re.compile(r"[0-9@]|" + _KEY_WORD)
+_ANY = re.compile(r"[0-9@]|::|" + _KEY_WORD)
 _TITLE = re.compile("|".join(re.escape(t) for t in TITLES.split()))
 
 
@@ -300,9 +381,12 @@ def find(text: str) -> list[tuple[int, int, str]]:
         while m := _ALL.search(text, at):
             kind = m.lastgroup
             at = m.end()
-            if kind in ("secret",):
+            if kind in ("secret", "birth"):
                 inner = _ONE[kind].match(text, m.start())
-                start, end = inner.span(inner.lastindex)
+                if inner is None:
+                    at = m.start() + 1
+                    continue
+                start, end = inner.span(1 if kind == "birth" else inner.lastindex)
             else:
                 start, end = m.span(kind)
             if kind in _CHECK and not _CHECK[kind](text[start:end]):
@@ -312,10 +396,19 @@ def find(text: str) -> list[tuple[int, int, str]]:
                     at = _next_part(text, m.start(), kind, out)
                 continue
             out.append((start, end, kind))
-    if _TITLE.search(text):
-        for m in _NAMES.finditer(text):
-            if not any(a < m.end(1) and m.start(1) < b for a, b, _ in out):
-                out.append((*m.span(1), "name"))
+    spans = [m.span(1) for m in _NAMES.finditer(text)] if _TITLE.search(text) else []
+    if _GIVEN_WORD.search(text):
+        spans += [m.span() for m in _FULL_NAMES.finditer(text)]
+    if spans:
+        words = {w for a, b in spans for w in text[a:b].split(" ") if len(w) > 2}
+        if words:  # other mentions
+            spans += [m.span() for m in re.finditer(r"(?<!\w)(?:" + "|".join(sorted(map(re.escape, words))) + r")(?!\w)", text)]
+        taken = sorted((a, b) for a, b, _ in out)
+        for a, b in sorted(set(spans), key=lambda x: (x[0], -x[1])):
+            k = bisect.bisect_left(taken, (b,))
+            if not k or taken[k - 1][1] <= a:
+                bisect.insort(taken, (a, b))
+                out.append((a, b, "name"))
         out.sort()
     return out
 
@@ -385,10 +478,10 @@ def collisions(replaced: DataFrame) -> DataFrame:
     return each.groupBy("type", "surrogate").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
-def with_surrogates(docs: DataFrame, key: bytes = DEMO_KEY) -> DataFrame:
+def with_surrogates(docs: DataFrame, key: bytes | None = None) -> DataFrame:
     """The rows of docs with surrogates in their text, and n_chars, if there is one, as of the new text. No join: the other columns go along."""
     names, rest = docs.columns, [c for c in docs.columns if c not in ("doc_id", "text")]
-    schema = docs.schema
+    schema, key = docs.schema, key_of(docs.sparkSession) if key is None else key
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mapping, known = Mapping(key), {}
@@ -405,6 +498,21 @@ def with_surrogates(docs: DataFrame, key: bytes = DEMO_KEY) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
+def key_of(spark: SparkSession) -> bytes:
+    """The caller's key from the session's setting, the demonstration's where none is set."""
+    return spark.conf.get(KEY_SETTING, DEMO_KEY.decode()).encode()
+
+
+def with_shared(replaced: DataFrame) -> DataFrame:
+    """The rows (doc_id, entities, ...) of a written table with n_shared: how many of their entities have a surrogate that another entity has anywhere."""
+    shared = collisions(replaced)
+    if not shared.limit(1).count():
+        return replaced.withColumn("n_shared", F.lit(0).cast("long"))
+    each = replaced.select("doc_id", F.explode("entities").alias("e")).select("doc_id", "e.type", "e.surrogate")
+    n = each.join(shared.select("type", "surrogate"), ["type", "surrogate"]).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_shared"))
+    return replaced.join(n, "doc_id", "left").withColumn("n_shared", F.coalesce("n_shared", F.lit(0)))
+
+
 def op9_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = replace_pii(read_table(spark, sf_dir, "documents"))
-    return out.select("doc_id", "text", "n_entities", "n_collisions", F.array_join(F.array_sort(F.array_distinct(F.transform("entities", lambda e: e["type"]))), ",").alias("types"))
+    out = with_shared(Staging(spark, "pii").write(replace_pii(read_table(spark, sf_dir, "documents"), key_of(spark)), "replaced"))
+    return out.select("doc_id", "text", "n_entities", "n_collisions", "n_shared", F.array_join(F.array_sort(F.array_distinct(F.transform("entities", lambda e: e["type"]))), ",").alias("types"))
