@@ -32,8 +32,10 @@ def words_of(text: Column) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder that driver and executors share: the cluster's spark.checkpoint.dir, our own only where that is unset."""
+    """Folder that driver and executors share: the cluster's spark.checkpoint.dir, our own only where that is unset and all run on one machine."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     if not named:
         named = "/tmp/checkpoints"
         spark.sparkContext.setCheckpointDir(named)
@@ -58,10 +60,15 @@ def _drop_all() -> None:
 atexit.register(_drop_all)
 
 
+#: Setting that lets ``free_shuffles`` collect the driver's garbage at once; without it Spark's cleaner takes its own time (spark.cleaner.periodicGC.interval).
+COLLECT_SETTING = "spark.contigo.collectGarbage"
+
+
 def free_shuffles(spark: SparkSession) -> None:
     """Let Spark's cleaner delete shuffle files whose plans nobody holds any more: it works by garbage collection."""
     gc.collect()
-    spark._jvm.System.gc()
+    if spark.conf.get(COLLECT_SETTING, "true") == "true":
+        spark._jvm.System.gc()
 
 
 class Staging:

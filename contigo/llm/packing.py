@@ -257,7 +257,15 @@ _tokens: dict[str, WordTokens] = {}
 
 def _packed(path: str, window: int, end_id: int, with_ids: bool):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        was = gc.isenabled()
         gc.disable()  # the caches hold no cycles, and walking them costs a tenth of the time
+        try:
+            yield from pack(batches)
+        finally:  # the worker may run other tasks
+            if was:
+                gc.enable()
+
+    def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = _tokens.get(path) or _tokens.setdefault(path, WordTokens(path))
         end, block = array("I", [end_id]).tobytes(), TaskContext.get().partitionId() << 32
         packer, rows, local = Packer(window), [], 0
