@@ -19,8 +19,10 @@ that has about the words of that rounding then changes sides against it. Blocks
 whatever the source's share of the rows, random numbers are hashes of ids: reruns agree.
 
 Edge cases: null or empty text has size 0 and is taken 0 words (and kept once by
-``repeat_documents``); null is a source of its own, the last; repeated rows are rounded each;
-an empty table gives no rows; other columns aren't read.
+``repeat_documents``); very long texts are one document each; null is a source of its own, the
+last; repeated rows, and rows with equal or null ids, are rounded each (equal ids as one random
+number); ties between hashes don't matter; an empty table gives no rows; other columns, whatever
+their names, go along in ``repeat_documents`` and aren't read otherwise.
 """
 
 from __future__ import annotations
@@ -137,12 +139,13 @@ def mix_decisions(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHAR
 
 
 def repeat_documents(docs: DataFrame, decisions: DataFrame) -> DataFrame:
-    """The rows of docs, each as often as decided. Rows that share a doc_id take its decisions in the order of their sizes."""
-    nth = Window.partitionBy("doc_id").orderBy("__size")
-    left = docs.withColumn("__size", F.size(words_of(F.col("text"))).cast("long")).withColumn("__nth", F.row_number().over(nth))
-    right = decisions.select("doc_id", F.col("size").alias("__size"), F.col("copies").alias("__copies")).withColumn("__nth", F.row_number().over(nth)).drop("__size")
-    out = left.join(right, ["doc_id", "__nth"]).where("__copies > 0")
-    return out.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The rows of docs, each as often as decided. Rows that share a doc_id, null too, take its decisions in the order of their sizes."""
+    left = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.size(words_of(F.col("text"))).cast("long").alias("size"), "doc_id")
+    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("size"))
+    left = left.withColumn("nth", nth)
+    right = decisions.select(F.col("doc_id").alias("of"), "size", "copies").withColumn("k", F.row_number().over(Window.partitionBy("of").orderBy("size"))).drop("size")
+    out = left.join(right, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("nth") == F.col("k"))).where("copies > 0")
+    return out.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
