@@ -84,10 +84,10 @@ class Staging:
 
     def write(self, df: DataFrame, name: str, free: bool = False, few: bool = False) -> DataFrame:
         """Write a table and return its reader. free: also let Spark delete shuffle files nobody needs any more.
-        few: a table of few columns, for which two tasks and files a core are enough."""
+        few: a table of few columns, for which two tasks and files a core, or a sixteenth of the shuffle's partitions, are enough."""
         path, schema = f"{self.root}/{name}", df.schema
         if few:
-            df = df.coalesce(2 * self.spark.sparkContext.defaultParallelism)
+            df = df.coalesce(max(2 * self.spark.sparkContext.defaultParallelism, int(self.spark.conf.get("spark.sql.shuffle.partitions")) // 16))
         df.write.mode("overwrite").option("compression", "zstd").parquet(path)
         if free:
             del df

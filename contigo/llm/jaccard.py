@@ -6,8 +6,10 @@ Words are runs of other characters than ASCII white space, A-Z in lower case. Sh
 1. Signatures. Each document gets the size of its set, a 1024-bit hashed bitmap of it, and 64
    tile keys: every key hashes four bins of a 256-bin min-wise sketch (fast similarity
    sketching), so two documents at similarity 0.75 share none of the 64 with a chance of
-   about (1 - 0.75**4)**64 = 3e-11, far less above it. Documents with equal sets are one
-   set from here on; the least doc_id stands for it.
+   about (1 - 0.75**4)**64 = 3e-11, far less above it. In the exact mode the keys are the least
+   quarter of the set's hashes and one more: of two similar sets both quarters hold a common
+   element, so no link can be lost, but a passage that many documents share makes large tiles.
+   Documents with equal sets are one set from here on; the least doc_id stands for it.
 2. Stars. Each set is held against one other: the least set of the tile it shares most keys
    with. Bit counts bound the overlap from above: each bit of x that y lacks is an element y
    lacks. What passes is decided by intersecting the sorted shingle arrays. Links make
@@ -20,18 +22,24 @@ Words are runs of other characters than ASCII white space, A-Z in lower case. Sh
    counts, and what passes by the exact intersection: for ``BEST_ROUNDS`` rounds each set's
    likeliest partner only, then, among the components that are left, all. Pairs within a
    component are never made.
-4. Components of all links; every document gets the least doc_id of its component.
+4. Components of all links; every document gets the least doc_id of its component. Sets with more
+   than a thousandth of all documents, a thousand at most, are told to their documents by a
+   broadcast, so that no task gets all copies of one text.
 
 Nothing is capped: large tiles become more blocks. Tables between steps are written to the
 shared folder.
 
 Edge cases: null, empty and wordless texts have empty sets and link with nothing; a text with
 fewer words than five has one shingle, the whole sequence; repeated rows have equal sets and
-link; an empty table gives no rows; other columns aren't read.
+link; very long texts are whole sets as all others; ties (equal sets, equally good partners) go to
+the least doc_id. Rows with a null doc_id link with equal sets only and have no component of their
+own. Rows that share a doc_id should be one document: any of them stands for all. An empty table
+gives no rows; other columns aren't read.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -50,6 +58,8 @@ ROUNDS = 48
 BLOCK = 2048
 #: Rounds in which a set of a mixed tile is held against its likeliest partner only, before all are.
 BEST_ROUNDS = 1
+#: Sets of more than this part of all documents (and a thousand of them) count as hot.
+HOT_SETS = 1000
 
 _rng = np.random.default_rng(5)
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -130,7 +140,7 @@ def sketches(elements: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return out
 
 
-def _signatures(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _signatures(exact: bool, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids = batch.column(0)
         offsets, data = _buffers(batch.column(1))
@@ -145,13 +155,17 @@ def _signatures(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 starts = np.concatenate([[0], np.cumsum(sizes[some])[:-1]])
                 id1[some] = np.add.reduceat(_mix(elements ^ np.uint64(1)), starts)
                 id2[some] = np.add.reduceat(_mix(elements ^ np.uint64(2)), starts)
-                parts = (sketches(elements, starts) * _GROUP).reshape(len(some), KEYS, PER_KEY).sum(axis=2, dtype=np.uint64)
-                keys[some] = _mix(parts + np.arange(KEYS, dtype=np.uint64))
+                if not exact:
+                    parts = (sketches(elements, starts) * _GROUP).reshape(len(some), KEYS, PER_KEY).sum(axis=2, dtype=np.uint64)
+                    keys[some] = _mix(parts + np.arange(KEYS, dtype=np.uint64))
                 marked = np.zeros(len(some) * BITS, bool)
                 marked[np.repeat(np.arange(len(some)), sizes[some]) * BITS + (elements >> np.uint64(54)).astype(np.int64)] = True
                 bits[some] = np.packbits(marked.reshape(len(some), BITS), axis=1).view(np.int64)
             lists = lambda x: pa.ListArray.from_arrays(pa.array(np.arange(b - a + 1, dtype=np.int32) * x.shape[1]), pa.array(x.view(np.int64).ravel()))  # noqa: B023, E731
-            yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), pa.array(sizes), pa.array(id1.view(np.int64)), pa.array(id2.view(np.int64)), lists(keys), lists(bits)], ["doc_id", "n", "id1", "id2", "keys", "bits"])
+            own = lists(keys)
+            if exact:  # sets are in order of hash: n - ceil(3 n / 4) + 1 of them
+                own = pa.array([x[: len(x) - (3 * len(x) + 3) // 4 + 1].view(np.int64) if len(x) else [] for x in sets], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), pa.array(sizes), pa.array(id1.view(np.int64)), pa.array(id2.view(np.int64)), own, lists(bits)], ["doc_id", "n", "id1", "id2", "keys", "bits"])
 
 
 def _arrays(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,7 +202,7 @@ def _tiles(best_only: bool):
         tile = rows.combine_chunks().to_batches()[0]
         i, j = (tile.column(k)[0].as_py() for k in (2, 3))
         rep, n, c, own, second = (tile.column(k).to_numpy(zero_copy_only=False) for k in range(4, 9))
-        bits = tile.column(9).flatten().to_numpy().reshape(len(rep), -1)
+        bits = tile.column(9).flatten().to_numpy().view(np.uint64).reshape(len(rep), -1)  # bits of signed numbers would be counted without their sign
         left = np.arange(len(rep)) if i == j else np.flatnonzero(~second)
         right = left if i == j else np.flatnonzero(second)
         best = np.zeros(len(rep), np.int64)
@@ -281,13 +295,13 @@ def _mixed(stage: Staging, tiles: DataFrame, sets: DataFrame, k: int) -> DataFra
     return blocks.repartition("key", "band", "i", "j").sortWithinPartitions("key", "band", "i", "j")
 
 
-def jaccard_components(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id."""
+def jaccard_components(docs: DataFrame, exact: bool = False) -> DataFrame:
+    """doc_id, n_shingles, component_id. exact: no link is lost by chance."""
     spark, texts = docs.sparkSession, text_docs(docs)
     stage = Staging(spark, "jaccard")
-    signed = stage.write(texts.mapInArrow(_signatures, "doc_id long, n long, id1 long, id2 long, keys array<long>, bits array<long>"), "signed")
+    signed = stage.write(texts.mapInArrow(functools.partial(_signatures, exact), "doc_id long, n long, id1 long, id2 long, keys array<long>, bits array<long>"), "signed")
     ids = stage.write(signed.select("doc_id", "n", "id1", "id2"), "ids", few=True)
-    reps = ids.where("n > 0").groupBy("id1", "id2", "n").agg(F.min("doc_id").alias("rep"))
+    reps = ids.where("n > 0").groupBy("id1", "id2", "n").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
     sets = stage.write(signed.join(reps.select(F.col("rep").alias("doc_id")).distinct().hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("rep"), "n", "keys", "bits"), "sets", free=True)
     stage.drop("signed")
 
@@ -331,15 +345,26 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     stage.drop("tiles", "arrays", "met", "sets")
     found = label.toDF("v", "c")
 
-    member = reps.join(found.withColumnRenamed("v", "rep"), "rep", "left").select("id1", "id2", F.col("n").alias("m"), F.coalesce("c", "rep").alias("c"))
-    out = ids.join(member.withColumnRenamed("m", "n"), ["id1", "id2", "n"], "left")
+    member = reps.join(found.withColumnRenamed("v", "rep"), "rep", "left").select("id1", "id2", "n", F.coalesce("c", "rep").alias("c"), "copies")
+    member = stage.write(member, "member", few=True)
+    equal = ["id1", "id2", "n"]
+    hot = member.where(F.col("copies") > max(1000, ids.count() // HOT_SETS)).drop("copies")  # HOT_SETS rows at most
+    out = ids.join(member.drop("copies"), equal, "left")
+    if hot.limit(1).count():
+        out = ids.join(F.broadcast(hot), equal).unionByName(ids.join(F.broadcast(hot), equal, "left_anti").join(member.drop("copies"), equal, "left"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("c", "doc_id").alias("component_id"))
 
 
 def keep_one_each(docs: DataFrame) -> DataFrame:
-    """The rows of docs that come first, by doc_id, in their component. Of rows that share doc_id and component, one stays."""
-    groups = jaccard_components(docs).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(groups, "doc_id", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The rows of docs that come first, by doc_id, in their component; of rows that share that doc_id the least by all columns. Rows with a null doc_id stay."""
+    stage = Staging(docs.sparkSession, "kept")
+    kept = stage.write(jaccard_components(docs).where("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")), "ids", few=True)
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    out = docs.join(kept.where("rows = 1").select("doc_id"), "doc_id", "left_semi").select(*columns).unionByName(docs.where("doc_id IS NULL"))
+    if not kept.where("rows > 1").limit(1).count():
+        return out
+    same = docs.join(kept.where("rows > 1").select("doc_id"), "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*columns)).alias("row"))
+    return out.unionByName(same.select("row.*"))
 
 
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,8 +27,8 @@ def brute(texts):
     return [(len(s), find(i)) for i, s in enumerate(sets)]
 
 
-@pytest.mark.parametrize("block", [2048, 7])
-def test_against_brute_force(spark, monkeypatch, block):
+@pytest.mark.parametrize("block, exact", [(2048, False), (7, False), (64, True)])
+def test_against_brute_force(spark, monkeypatch, block, exact):
     rng = random.Random(11)
     word = lambda: "".join(rng.choice("abcdéF") for _ in range(rng.randint(1, 4)))
     texts = [None, "", " \n", "One two", "one  TWO", "one two three", "a b c d e", "A b\tc d\ne"]
@@ -45,7 +45,7 @@ def test_against_brute_force(spark, monkeypatch, block):
         texts.append(" ".join(shared + [word() for _ in range(rng.choice([5, 12, 14, 30]))]))
     monkeypatch.setattr(jaccard, "BLOCK", block)
     df = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)], "doc_id long, text string, n int")
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.jaccard_components(df).collect()}
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.jaccard_components(df, exact).collect()}
     want = brute(texts)
     assert [got[i] for i in range(len(texts))] == want
     kept = {r.doc_id for r in jaccard.keep_one_each(df).collect()} if block == 7 else {c for _, c in want}
@@ -55,3 +55,15 @@ def test_against_brute_force(spark, monkeypatch, block):
 def test_empty(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert jaccard.jaccard_components(df).count() == 0
+
+
+def test_hot_copies_repeated_and_null_ids(spark):
+    """Many copies of one text, rows that share an id, null ids, a very long text."""
+    long = " ".join(f"w{i}" for i in range(60_000))
+    rows = [(i, "one text that many rows hold word for word", "a") for i in range(1500)]
+    rows += [(3000, "another text of its own kind with words", "a"), (3000, "another text of its own kind with words", "b"), (None, "another text of its own kind with words", "c"), (None, "alone but without any id at all", "d"), (3001, long, "e"), (3002, long + " more", "f")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n string")
+    got = sorted((r.doc_id, r.component_id) for r in jaccard.jaccard_components(df).collect() if r.doc_id is not None)
+    assert got == sorted([(i, 0) for i in range(1500)] + [(3000, 3000)] * 2 + [(3001, 3001), (3002, 3001)])
+    kept = sorted((str(r.doc_id), r.n) for r in jaccard.keep_one_each(df).collect())
+    assert kept == [("0", "a"), ("3000", "a"), ("3001", "e"), ("None", "c"), ("None", "d")]
