@@ -32,10 +32,26 @@ def trim_trailing_n(seq: Column) -> Column:
     return F.regexp_replace(seq, "[Nn]+$", "")
 
 
+#: Bases of a piece: substrings are searched from a text's start, so long sequences are cut first.
+PIECE = 1000
+
+
+def pieces(seq: Column, k: int) -> Column:
+    """The sequence in pieces of some PIECE bases, each with the k - 1 bases that follow it: every k-mer lies in one piece. Linear in the length."""
+    size = max(PIECE, k)
+    cut = F.regexp_extract_all(seq, F.lit(f"(?s).{{1,{size}}}"), 0)
+    after = F.slice(cut, F.lit(2), F.greatest(F.size(cut), F.lit(0)))
+    return F.zip_with(cut, after, lambda p, q: F.concat(p, F.left(F.coalesce(q, F.lit("")), F.lit(k - 1))))
+
+
+def piece_kmers(piece: Column, k: int) -> Column:
+    n = F.char_length(piece) - k + 1
+    return F.when(n > 0, F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(piece, i, F.lit(k)))).otherwise(F.array().cast("array<string>"))
+
+
 def kmers(seq: Column, k: int) -> Column:
     """All substrings of length k in order; none for shorter (or null) sequences."""
-    n = F.char_length(seq) - k + 1
-    return F.when(n > 0, F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(seq, i, F.lit(k)))).otherwise(F.array().cast("array<string>"))
+    return F.coalesce(F.flatten(F.transform(pieces(seq, k), lambda p: piece_kmers(p, k))), F.array().cast("array<string>"))
 
 
 def count_of(seq: Column, letters: str) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.sequence import canonical, kmers, revcomp
+from ..functions.sequence import canonical, kmers, pieces, revcomp
 
 #: Bit of each base in an edge mask. Fixed values.
 BASE_BITS = {"A": 1, "C": 2, "G": 4, "T": 8}
@@ -21,9 +21,10 @@ def kmer_counts(df: DataFrame, seq: str, k: int, strands: bool = True, least: in
     """by, kmer, n: strands: a k-mer and its reverse complement count as one. Counts are added up before the shuffle."""
     if not strands:
         return explode_kmers(df, seq, k, by, letters).groupBy(*(by or []), "kmer").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
-    # both strands of a sequence are made once; a k-mer and its complement are then substrings at mirrored places
-    clean = F.translate(F.col(seq), letters, "") == "" if letters else F.lit(True)
-    both = df.select(*(by or []), F.col(seq).alias("__s"), revcomp(F.col(seq)).alias("__r"), clean.alias("__clean"))
+    # both strands of a piece are made once; a k-mer and its complement are then substrings at mirrored places
+    cut = df.select(*(by or []), F.explode(pieces(F.col(seq), k)).alias("__s"))
+    clean = F.translate("__s", letters, "") == "" if letters else F.lit(True)
+    both = cut.select(*(by or []), "__s", revcomp(F.col("__s")).alias("__r"), clean.alias("__clean"))
     n = F.char_length("__s") - k + 1
     pick = lambda i: F.least(F.substring("__s", i, F.lit(k)), F.substring("__r", n - i + 1, F.lit(k)))
     places = F.when(n > 0, F.transform(F.sequence(F.lit(1), n), pick)).otherwise(F.array().cast("array<string>"))

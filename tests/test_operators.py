@@ -345,3 +345,34 @@ def test_transitive_reduction_over_any_path(spark):
     for _ in range(6):
         seen |= {b for a, b in left if a in seen}
     assert len(left) < 12 and seen == set(range(6)) and {b for _, b in left} == set(range(6))
+
+
+def test_kmers_of_long_sequences_in_linear_time(spark):
+    import random
+    import time
+
+    from contigo.functions import sequence
+    from contigo.operators import kmers
+
+    rng = random.Random(1)
+    seq = "".join(rng.choice("ACGT") for _ in range(2503)) + "N" + "".join(rng.choice("ACGT") for _ in range(996))
+    rows = [(0, seq), (1, ""), (2, None), (3, "ACG"), (4, seq[:1000]), (5, seq[:1004])]
+    df = spark.createDataFrame(rows, "id int, s string")
+    for k in (1, 5, 31):
+        got = {r.id: r.m for r in df.select("id", sequence.kmers(F.col("s"), k).alias("m")).collect()}
+        assert all(got[i] == [(s or "")[j : j + k] for j in range(len(s or "") - k + 1)] for i, s in rows)
+    turned = lambda x: x[::-1].translate(str.maketrans("ACGT", "TGCA"))
+    want = {}
+    for _, s in rows:
+        for j in range(len(s or "") - 6):
+            x = s[j : j + 7]
+            if "N" not in x:
+                want[min(x, turned(x))] = want.get(min(x, turned(x)), 0) + 1
+    assert {r.kmer: r.n for r in kmers.kmer_counts(df, "s", 7).collect()} == want
+    took = []
+    for n in (400_000, 1_600_000):
+        one = spark.createDataFrame([("".join(rng.choices("ACGT", k=n)),)], "s string")
+        began = time.time()
+        kmers.kmer_counts(one, "s", 21).agg(F.sum("n")).collect()
+        took.append(time.time() - began)
+    assert took[1] < 12 * max(took[0], 1)
