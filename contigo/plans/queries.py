@@ -323,9 +323,9 @@ def q_merge_duplicate_scores(s, d):
     return hits.merge_duplicate_scores(o, "o_custkey", "k", "v", average=True)
 
 
-@query("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+@query("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'F')")
 def q_not_in_list(s, d):
-    return hits.in_lists(table(s, d, "customer"), table(s, d, "orders").withColumnRenamed("o_custkey", "c_custkey"), "c_custkey", keep=False).select("c_custkey")
+    return hits.in_lists(table(s, d, "customer"), table(s, d, "orders").where("o_orderstatus = 'F'").withColumnRenamed("o_custkey", "c_custkey"), "c_custkey", keep=False).select("c_custkey")
 
 
 @query("SELECT p_partkey FROM part WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = p_partkey AND l_quantity > 45)")
@@ -375,11 +375,11 @@ def q_core_groups(s, d):
 
 
 @query("""
-WITH a AS (SELECT c_custkey AS k FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders))
-SELECT (SELECT max(o_orderkey) FROM orders) + row_number() OVER (ORDER BY substr(CAST(k AS VARCHAR), 1, 2), k) AS o_orderkey, k AS o_custkey FROM a""")
+WITH a AS (SELECT c_custkey AS k FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F'))
+SELECT (SELECT max(o_orderkey) FROM orders WHERE o_orderstatus = 'F') + row_number() OVER (ORDER BY substr(CAST(k AS VARCHAR), 1, 2), k) AS o_orderkey, k AS o_custkey FROM a""")
 def q_number_singletons(s, d):
     members = table(s, d, "customer").select(F.col("c_custkey").alias("o_custkey"))
-    return pairing.number_singletons(members, table(s, d, "orders").select("o_orderkey", "o_custkey"), "o_custkey", "o_orderkey")
+    return pairing.number_singletons(members, table(s, d, "orders").where("o_orderstatus = 'F'").select("o_orderkey", "o_custkey"), "o_custkey", "o_orderkey")
 
 
 # ---- pairing
@@ -560,9 +560,11 @@ def q_whole_transitive_reduction(s, d):
     return graph.transitive_reduction(_edges(s, d))
 
 
-@query(_EDGES + " SELECT * FROM e WHERE src IN (SELECT src FROM e GROUP BY 1 HAVING count(*) = 1) AND dst IN (SELECT dst FROM e GROUP BY 1 HAVING count(*) = 1)")
+@query("""
+WITH e AS (SELECT DISTINCT c_custkey % 700 AS src, (c_custkey * 31 + c_nationkey) % 700 AS dst FROM customer)
+SELECT * FROM e WHERE src IN (SELECT src FROM e GROUP BY 1 HAVING count(*) = 1) AND dst IN (SELECT dst FROM e GROUP BY 1 HAVING count(*) = 1)""")
 def q_unique_successors(s, d):
-    return graph.unique_successors(_edges(s, d))
+    return graph.unique_successors(table(s, d, "customer").selectExpr("c_custkey % 700 AS src", "(c_custkey * 31 + c_nationkey) % 700 AS dst").distinct())
 
 
 @query()
@@ -594,7 +596,13 @@ def q_dcj_distance(s, d):
 # ---- clusters
 
 
-@query()
+@query("""
+WITH RECURSIVE p AS (SELECT vec_id, label, embedding[1] AS x, embedding[2] AS y FROM embeddings),
+n AS (SELECT a.label, a.vec_id AS a, b.vec_id AS b FROM p a JOIN p b ON a.label = b.label AND a.vec_id <> b.vec_id AND abs(a.x - b.x) <= 0.05 AND abs(a.y - b.y) <= 0.05),
+c AS (SELECT label, a AS v FROM n GROUP BY ALL HAVING count(*) >= 4), e AS (SELECT n.a, n.b FROM n JOIN c x ON n.a = x.v JOIN c y ON n.b = y.v),
+r(v, w) AS (SELECT v, v FROM c UNION SELECT r.v, e.b FROM r JOIN e ON r.w = e.a), k AS (SELECT v, min(w) AS cluster FROM r GROUP BY 1),
+o AS (SELECT n.a AS v, min(k.cluster) AS cluster FROM n JOIN k ON n.b = k.v WHERE n.a NOT IN (SELECT v FROM c) GROUP BY 1)
+SELECT label, vec_id, coalesce(k.cluster, o.cluster) AS cluster FROM p LEFT JOIN k ON k.v = vec_id LEFT JOIN o ON o.v = vec_id""")
 def q_dbscan(s, d):
     p = table(s, d, "embeddings").select("label", "vec_id", F.col("embedding")[0].alias("x"), F.col("embedding")[1].alias("y"))
     return cluster.dbscan(p, ["label"], "vec_id", "x", "y", 0.05, 4)
@@ -651,7 +659,14 @@ def q_split_at_n(s, d):
     return scaffold.split_at_n(table(s, d, "documents").select("doc_id", "text"), "doc_id", "text").select("doc_id", "part", F.md5("text").alias("piece"))
 
 
-@query()
+@query("""
+WITH t AS (SELECT doc_id, regexp_replace(text, '[.] ', 'NNNNNNNNNNNN', 'g') AS s FROM documents), x AS (SELECT doc_id, string_split_regex(s, '[Nn]{10,}') AS p, regexp_extract_all(s, '[Nn]{10,}') AS g FROM t),
+e AS (SELECT doc_id, i, length(p[i]) AS n, coalesce(length(g[i]), 0) AS gap FROM x, unnest(range(1, len(p) + 1)) u(i)),
+a AS (SELECT *, 1 + coalesce(sum(n + gap) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM e),
+b AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY start) AS k, start - min(start) OVER (PARTITION BY doc_id) + 1 AS beg FROM a WHERE n >= 20),
+c AS (SELECT *, beg + n - 1 AS fin, lag(beg + n - 1) OVER (PARTITION BY doc_id ORDER BY k) AS prev FROM b)
+SELECT doc_id AS object, CAST(beg AS BIGINT) AS object_beg, CAST(fin AS BIGINT) AS object_end, 2 * k - 1 AS part, 'W' AS type, doc_id || '_c' || k AS c6, '1' AS c7, CAST(n AS VARCHAR) AS c8, '+' AS c9 FROM c
+UNION ALL SELECT doc_id, CAST(prev + 1 AS BIGINT), CAST(beg - 1 AS BIGINT), 2 * k - 2, 'N', CAST(CAST(beg - prev - 1 AS BIGINT) AS VARCHAR), 'scaffold', 'yes', 'paired-ends' FROM c WHERE prev IS NOT NULL""")
 def q_agp(s, d):
     return scaffold.agp(table(s, d, "documents").select("doc_id", F.regexp_replace("text", "[.] ", "NNNNNNNNNNNN").alias("text")), "doc_id", "text", 10, 20)
 
@@ -696,7 +711,10 @@ def q_reference_coverage(s, d):
     return rounded(score.reference_coverage(blocks, refs)[0], 9, "part")
 
 
-@query()
+@query("""
+WITH g AS (SELECT l_returnflag, l_suppkey, avg(l_quantity) AS x, avg(l_extendedprice) AS y FROM lineitem GROUP BY ALL), c AS (SELECT l_returnflag, count(*) AS n FROM g GROUP BY 1),
+t AS (SELECT a.l_returnflag, CAST(sum(CASE WHEN (a.x - b.x) * (a.y - b.y) > 0 THEN 1 ELSE -1 END) AS DOUBLE) AS s FROM g a JOIN g b ON a.l_returnflag = b.l_returnflag AND a.l_suppkey < b.l_suppkey GROUP BY 1)
+SELECT l_returnflag, n, round(s / (n * (n - 1) / 2), 9) AS tau, round(3 * s / (n * (n - 1) / 2) * sqrt(n * (n - 1)) / sqrt(2 * (2 * n + 5)), 9) AS z FROM c JOIN t USING (l_returnflag)""")
 def q_kendall(s, d):
     return rounded(score.kendall(table(s, d, "lineitem").select("l_returnflag", "l_suppkey", "l_orderkey", "l_quantity", "l_extendedprice").groupBy("l_returnflag", "l_suppkey").agg(F.avg("l_quantity").alias("x"), F.avg("l_extendedprice").alias("y")), "x", "y", "l_returnflag"), 9, "tau", "z")
 
