@@ -10,7 +10,7 @@ Learning (``learn``):
    bounds their number. One pass over all documents counts how many texts hold each: these
    corpus counts are the Dirichlet prior of the log-odds ratio of toxic and other texts.
 3. Tokens whose log-odds are ``LEAST_ODDS`` or more away from 0 score them with their sign, shrunk by
-   1 - (LEAST_Z / z) ** 2 where z, the standard errors by a likelihood ratio of the two counts (none in
+   1 - (SHRINK / z) ** 2 where z, the standard errors by a likelihood ratio of the two counts (none in
    other texts is evidence, not a lack of it), is over ``LEAST_Z``; all others score nothing (in a large
    sample toxic texts' mere length makes small log-odds significant). Of a token's keys the one
    furthest from 0 counts, and every token also costs ``DRIFT``.
@@ -48,6 +48,7 @@ from .repeats import CHUNK_BYTES, _buffers, _groups, _power, _sums
 SAMPLE = 20_000
 LEAST_TEXTS = 3
 LEAST_Z = 2.0
+SHRINK = 2.0
 LEAST_ODDS = 2.0
 DRIFT = 0.02
 PRIOR = 10.0
@@ -277,16 +278,22 @@ def null_size(scored: DataFrame, rate: float, least: float) -> float:
     return math.log((r.n + 0.5) / r.s) if r.s else 0.0
 
 
-def _logistic(x: np.ndarray, y: np.ndarray) -> tuple:
-    """Logistic curve over columns of x with a small ridge, by Newton's method."""
+def logistic(x: np.ndarray, y: np.ndarray) -> tuple:
+    """Logistic curve over columns of x with a small ridge, by Newton's method; steps that don't improve are halved, as classes may be parted cleanly."""
     x = np.column_stack([np.ones(len(x)), x])
-    w, ridge = np.zeros(x.shape[1]), np.diag([1e-6] + [1e-2] * (x.shape[1] - 1))
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) + ridge, x.T @ (y - p) - ridge @ w)
-        w += np.clip(step, -5, 5)
-        if np.abs(step).max() < 1e-8:
+    w, ridge = np.zeros(x.shape[1]), np.array([1e-6] + [1e-2] * (x.shape[1] - 1))
+    loss = lambda w: float(np.logaddexp(0, np.where(y > 0, -1, 1) * (x @ w)).sum() + (ridge * w * w).sum() / 2)
+    now = loss(w)
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -500, 500)))
+        step = np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) + np.diag(ridge + 1e-9), x.T @ (y - p) - ridge * w)
+        size = 1.0
+        while size > 1e-9 and not loss(w + size * step) < now:
+            size /= 2
+        if size <= 1e-9 or now - loss(w + size * step) < 1e-9 * now:
             break
+        w = w + size * step
+        now = loss(w)
     return tuple(w.tolist())
 
 
@@ -303,7 +310,9 @@ def learn(docs: DataFrame, labels: DataFrame, allowed: Column, sample: int = SAM
     spark, texts = docs.sparkSession, text_docs(docs)
     some = labels.where(allowed & F.col("toxic").isNotNull()).select("doc_id", (F.col("toxic") == 1).alias("toxic"))
     some = some.withColumn("h", F.xxhash64("doc_id")).orderBy("h", "doc_id").limit(sample)  # SAMPLE rows of three small columns at most
-    rows = texts.join(F.broadcast(some), "doc_id").withColumn("t", F.xxhash64("text")).dropDuplicates(["t", "toxic"]).drop("t").cache()
+    rows = texts.join(F.broadcast(some), "doc_id")
+    # of equal texts the row with the least hash, so that reruns learn the same
+    rows = rows.groupBy(F.xxhash64("text").alias("t"), "toxic").agg(F.min_by(F.struct("doc_id", "text", "h"), F.struct("h", "doc_id")).alias("row")).select("row.*", "toxic").cache()
     teach = rows.where(F.pmod(F.shiftright("h", 20), 5) != 0)
     pick = lambda df, toxic: df.where(F.col("toxic") if toxic else ~F.col("toxic")).select("doc_id", "text")
     try:
@@ -333,7 +342,7 @@ def learn(docs: DataFrame, labels: DataFrame, allowed: Column, sample: int = SAM
         odds = np.log((y1 + prior) / (n1 + PRIOR - y1 - prior)) - np.log((y0 + prior) / (n0 + PRIOR - y0 - prior))
         z = evidence(y1, n1, y0, n0)
         take = (np.abs(z) > LEAST_Z) & (np.abs(odds) >= LEAST_ODDS)
-        model = Model(keys[take], odds[take] * (1 - (LEAST_Z / z[take]) ** 2))
+        model = Model(keys[take], odds[take] * (1 - (SHRINK / z[take]) ** 2))
         if take.any():
             clean = pick(teach, False)
             null = {r.place: r.n for r in clean.mapInArrow(_null_counts(spark.sparkContext.broadcast(model)), "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).collect()}
@@ -347,9 +356,9 @@ def learn(docs: DataFrame, labels: DataFrame, allowed: Column, sample: int = SAM
         if got:
             x = np.array([(min(max(r.best, -30), 10), math.log1p(r.p)) for r in got])
             y = np.array([r.y for r in got])
-            model.curve = _logistic(x, y)
+            model.curve = logistic(x, y)
             if min(model.curve[1:]) < 0:  # neither may count against a text's being toxic
-                model.curve = (*_logistic(x[:, :1], y), 0.0)
+                model.curve = (*logistic(x[:, :1], y), 0.0)
         return model
     finally:
         rows.unpersist()

@@ -112,7 +112,7 @@ def test_log_odds_with_their_prior(spark):
         cells = [(y1, n1), (n1 - y1, n1), (y0, n0), (n0 - y0, n0)]
         share = [(y1 + y0) / (n1 + n0), 1 - (y1 + y0) / (n1 + n0)] * 2
         z = np.sqrt(2 * sum(c * np.log(c / (n * p)) for (c, n), p in zip(cells, share) if c))
-        want = odds * (1 - (toxicity.LEAST_Z / z) ** 2) if abs(odds) >= toxicity.LEAST_ODDS and z > toxicity.LEAST_Z else None
+        want = odds * (1 - (toxicity.SHRINK / z) ** 2) if abs(odds) >= toxicity.LEAST_ODDS and z > toxicity.LEAST_Z else None
         assert (want is None) == (w == "aa") and (want is None and key(w) not in score or abs(score[key(w)] - want) < 1e-9)
     assert score[key("zz")] > 1 > -1 > score[key("yy")]
 
@@ -162,3 +162,19 @@ def test_long_texts_and_null_ids(spark):
     assert len(got) == len(docs) and got[None].predicted == 1 and got[500].predicted == 0 and got[501].words == 200_003
     kept = {r.doc_id for r in toxicity.keep_clean(d, model).collect()}
     assert None not in kept and 500 in kept
+
+
+def test_logistic_of_classes_parted_cleanly():
+    """Converges to the least penalised loss, on clean, noisy and one-sided classes."""
+    rng = np.random.default_rng(5)
+    for clean in (True, False):
+        best = np.concatenate([rng.normal(-4, 1, 3000), rng.normal(8, 1, 300)])
+        y = (best > 2).astype(float)
+        if not clean:
+            y[::40] = 1 - y[::40]
+        x = np.column_stack([best, np.log1p(np.maximum(best, 0) // 2)])
+        w = np.array(toxicity.logistic(x, y))
+        x1 = np.column_stack([np.ones(len(x)), x])
+        p = 1 / (1 + np.exp(-x1 @ w))
+        assert np.abs(x1.T @ (y - p) - np.array([1e-6, 1e-2, 1e-2]) * w).max() < 1e-2  # the gradient is gone
+        assert ((p >= 0.5) == (best > 2)).mean() > 0.999
