@@ -21,7 +21,10 @@ Words are runs of other characters than ASCII white space, A-Z in lower case. Sh
    sets; in each pair of blocks, sets of different components are compared by size and bit
    counts, and what passes by the exact intersection: for ``BEST_ROUNDS`` rounds each set's
    likeliest partner only, then, among the components that are left, all. Pairs within a
-   component are never made.
+   component are never made. Two sets that share many tiles are paired in the first ``SHARED``
+   of them, not in each: 16 bits of each key tell what tiles they share, and a pair is left to
+   earlier tiles only if that many keys agree there, which different keys do with a chance of
+   about 3e-14. The exact mode pairs them in every tile.
 4. Components of all links; every document gets the least doc_id of its component. Sets with more
    than a thousandth of all documents, a thousand at most, are told to their documents by a
    broadcast, so that no task gets all copies of one text.
@@ -58,6 +61,8 @@ ROUNDS = 48
 BLOCK = 2048
 #: Rounds in which a set of a mixed tile is held against its likeliest partner only, before all are.
 BEST_ROUNDS = 1
+#: Tiles, in order of their keys, in which sets that share more of them are paired.
+SHARED = 4
 #: Sets of more than this part of all documents (and a thousand of them) count as hot.
 HOT_SETS = 1000
 
@@ -195,14 +200,17 @@ def _linked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _tiles(best_only: bool):
-    """Rows (key, band, i, j, rep, n, c, own, second, bits) in order of (key, band, i, j) to pairs (a, b)
-    of different components that bit counts can't rule out; best_only: for each set, its likeliest partner in the tile."""
+    """Rows (key, band, i, j, rep, n, c, own, second, bits, marks) in order of (key, band, i, j) to pairs (a, b)
+    of different components that bit counts can't rule out; best_only: for each set, its likeliest partner in the tile.
+    marks: the upper 16 bits of each of a set's keys; where they are empty, a pair comes from every tile that it shares."""
 
     def pairs(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         tile = rows.combine_chunks().to_batches()[0]
         i, j = (tile.column(k)[0].as_py() for k in (2, 3))
         rep, n, c, own, second = (tile.column(k).to_numpy(zero_copy_only=False) for k in range(4, 9))
         bits = tile.column(9).flatten().to_numpy().view(np.uint64).reshape(len(rep), -1)  # bits of signed numbers would be counted without their sign
+        marks = tile.column(10).flatten().to_numpy()
+        marks, here = marks.reshape(len(rep), -1) if len(marks) else None, tile.column(0)[0].as_py() >> 48
         left = np.arange(len(rep)) if i == j else np.flatnonzero(~second)
         right = left if i == j else np.flatnonzero(second)
         best = np.zeros(len(rep), np.int64)
@@ -220,6 +228,11 @@ def _tiles(best_only: bool):
                 most = np.minimum(n[a] - only_a, n[b] - only_b)
                 good = 7 * most >= 3 * (n[a] + n[b])
                 a, b, most = a[good], b[good], most[good]
+                if marks is not None:
+                    same = marks[a] == marks[b]
+                    tile_at = (same & (marks[a] == here)).argmax(axis=1)  # this tile's place among the keys, or one before it
+                    new = np.cumsum(same, axis=1)[np.arange(len(a)), tile_at] <= SHARED
+                    a, b, most = a[new], b[new], most[new]
                 if best_only:
                     rate = (most << 20) // (n[a] + n[b]) << 32
                     np.maximum.at(best, a, rate | b)
@@ -279,8 +292,8 @@ def _bound(a: str, b: str) -> F.Column:
     return (4 * F.least(na, nb) >= 3 * F.greatest(na, nb)) & (7 * most >= 3 * (na + nb))
 
 
-def _mixed(stage: Staging, tiles: DataFrame, sets: DataFrame, k: int) -> DataFrame:
-    """The rows for ``_tiles``: sets of tiles (key, rep, n, c) with several components, by size band and pair of blocks."""
+def _mixed(stage: Staging, tiles: DataFrame, sets: DataFrame, k: int, marked: bool) -> DataFrame:
+    """The rows for ``_tiles``: sets of tiles (key, rep, n, c) with several components, by size band and pair of blocks. marked: with marks of their keys."""
     tiles = stage.write(tiles, f"tiles{k}", few=True)
     mixed = tiles.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo != hi").select("key")
     rows = tiles.join(mixed, "key", "left_semi")
@@ -289,9 +302,10 @@ def _mixed(stage: Staging, tiles: DataFrame, sets: DataFrame, k: int) -> DataFra
     rows = stage.write(rows.withColumn("band", F.when(F.col("own"), F.col("band")).otherwise(F.col("band") + 1)), f"rows{k}", few=True)
     held = rows.groupBy("key", "band").agg(F.count(F.lit(1)).alias("m"), F.max("own").alias("some"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("m > 1 AND some AND lo != hi")
     blocks = rows.join(held.select("key", "band", F.ceil(F.col("m") / BLOCK).cast("int").alias("nb")), ["key", "band"]).withColumn("blk", F.pmod(F.xxhash64("rep"), F.col("nb")).cast("int"))
-    blocks = blocks.join(sets.select("rep", "bits"), "rep").select("*", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("o"))
+    marks = F.transform("keys", lambda x: F.shiftright(x, 48).cast("short")) if marked else F.array().cast("array<short>")
+    blocks = blocks.join(sets.select("rep", "bits", marks.alias("marks")), "rep").select("*", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("o"))
     i, j = F.least("blk", "o"), F.greatest("blk", "o")
-    blocks = blocks.select("key", "band", i.alias("i"), j.alias("j"), "rep", "n", "c", "own", (F.col("blk") == j).alias("second"), "bits")
+    blocks = blocks.select("key", "band", i.alias("i"), j.alias("j"), "rep", "n", "c", "own", (F.col("blk") == j).alias("second"), "bits", "marks")
     return blocks.repartition("key", "band", "i", "j").sortWithinPartitions("key", "band", "i", "j")
 
 
@@ -340,8 +354,9 @@ def jaccard_components(docs: DataFrame, exact: bool = False) -> DataFrame:
     far = far.join(sets.select(F.col("rep"), F.struct("n", "bits").alias("x")), "rep").join(sets.select(F.col("rep").alias("head"), F.struct("n", "bits").alias("y")), "head").where(_bound("x", "y"))
     label = held_against(label, far.select(F.least("rep", "head").alias("a"), F.greatest("rep", "head").alias("b")), 1)
     for k in range(2, 2 + BEST_ROUNDS + 1):
-        rows = _mixed(stage, tiles.select("key", "rep", "n").join(label, "rep"), sets, k)
-        label = held_against(label, rows.mapInArrow(_tiles(k < 2 + BEST_ROUNDS), "a long, b long"), k)
+        best_only = k < 2 + BEST_ROUNDS
+        rows = _mixed(stage, tiles.select("key", "rep", "n").join(label, "rep"), sets, k, not best_only and not exact)
+        label = held_against(label, rows.mapInArrow(_tiles(best_only), "a long, b long"), k)
     stage.drop("tiles", "arrays", "met", "sets")
     found = label.toDF("v", "c")
 

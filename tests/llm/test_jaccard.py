@@ -1,6 +1,8 @@
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from contigo.llm import jaccard
@@ -52,6 +54,32 @@ def test_against_brute_force(spark, monkeypatch, block, exact):
     assert kept == {c for _, c in want}
 
 
+def tile(key, keys):
+    """A tile of one block: sets of the same 50 elements, each a component of its own."""
+    n = len(keys)
+    lists = lambda x, kind: pa.array(x.tolist(), pa.list_(kind))
+    columns = [pa.array([key] * n)] + [pa.array([0] * n, pa.int32())] * 3 + [pa.array(range(n)), pa.array([50] * n), pa.array(range(n)), pa.array([True] * n), pa.array([True] * n)]
+    return pa.RecordBatch.from_arrays([*columns, lists(np.ones((n, 16), np.int64), pa.int64()), lists(keys >> 48, pa.int16())], ["key", "band", "i", "j", "rep", "n", "c", "own", "second", "bits", "marks"])
+
+
+def test_pairs_come_from_the_first_tiles_that_they_share():
+    rng = np.random.default_rng(3)
+    keys = rng.integers(-(1 << 63), 1 << 63, (3, 64))
+    keys[1, 5:] = keys[0, 5:]  # 0 and 1 share 59 tiles, 2 one with either
+    keys[2, 60] = keys[0, 60]
+    for at in (1, 2, 3):  # other keys with the same mark
+        keys[2, at] = keys[0, at] ^ 1
+    made = {}
+    for at in range(64):
+        for key in set(keys[:, at].tolist()):
+            some = np.flatnonzero(keys[:, at] == key)
+            batch = tile(key, keys[some])
+            for out in jaccard._tiles(False)([batch.set_column(4, "rep", pa.array(some))]):
+                for pair in zip(out["a"].to_pylist(), out["b"].to_pylist()):
+                    made.setdefault(pair, []).append(at)
+    assert made == {(0, 1): [5, 6, 7, 8], (0, 2): [60], (1, 2): [60]}
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert jaccard.jaccard_components(df).count() == 0
