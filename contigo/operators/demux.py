@@ -8,31 +8,61 @@ from pyspark.sql import functions as F
 from ..functions.quality import trim_at_low
 from ..functions.sequence import hamming
 
-#: A barcode table is broadcast up to this number of rows; beyond it Spark chooses.
+#: Up to this number of barcodes each read is held against all of them; beyond it, against those that share a piece with it.
 MOST_BARCODES = 10_000
 
 
-def best_barcode(reads: DataFrame, barcodes: DataFrame, key: list[str], seq: str, mismatches: int = 1, partial: int = 0, at_end: bool = False) -> DataFrame:
-    """key, ident, distance: the barcode (ord, ident, barcode) with the fewest mismatches at the read's start (or end), the first one on ties; null beyond the limit.
+def with_barcode(reads: DataFrame, barcodes: DataFrame, key: list[str], seq: str, mismatches: int = 1, partial: int = 0, at_end: bool = False) -> DataFrame:
+    """The reads with ident, distance: the barcode (ord, ident, barcode) with the fewest mismatches at the read's start (or end), the first one on ties; null beyond the limit.
 
-    partial: barcodes may also have lost up to so many bases at the read's edge, each counted as a mismatch.
+    partial: barcodes may also have lost up to so many bases at the read's edge, each counted as a mismatch. key names a read where the table of barcodes is large.
     """
-    n = barcodes.limit(MOST_BARCODES + 1).count()
-    codes = F.broadcast(barcodes) if n <= MOST_BARCODES else barcodes
-    rows = reads.select(*key, F.col(seq).alias("__s")).crossJoin(codes.select("ord", "ident", "barcode"))  # reads by a checked, small table of barcodes
-    size = F.char_length("barcode")
-    part = (lambda k: F.right(F.col("__s"), size - k)) if at_end else (lambda k: F.left(F.col("__s"), size - k))
-    code = (lambda k: F.left(F.col("barcode"), size - k)) if at_end else (lambda k: F.right(F.col("barcode"), size - k))
-    costs = [hamming(part(F.lit(k)), code(F.lit(k))) + k for k in range(partial + 1)]
-    d = F.least(*costs) if partial else costs[0]
-    best = rows.groupBy(*key).agg(F.min(F.struct(d.alias("distance"), F.col("ord"), F.col("ident"))).alias("b"))
-    ok = F.col("b.distance") <= mismatches
-    return best.select(*key, F.when(ok, F.col("b.ident")).alias("ident"), F.when(ok, F.col("b.distance")).alias("distance"))
+    part = F.right if at_end else F.left
+    code = F.left if at_end else F.right
+    if barcodes.limit(MOST_BARCODES + 1).count() > MOST_BARCODES:
+        best = _by_equal_pieces(reads.select(*key, F.col(seq).alias("__s")), barcodes, key, mismatches, partial, part, code)
+        return reads.join(best, key, "left")
+    table = barcodes.agg(F.collect_list(F.struct("ord", "ident", "barcode")).alias("__codes"))  # one row of at most MOST_BARCODES
+
+    def cost(c: Column) -> Column:
+        size = F.char_length(c["barcode"])
+        costs = [hamming(part(F.col(seq), size - k), code(c["barcode"], size - k)) + k for k in range(partial + 1)]
+        return F.struct((F.least(*costs) if partial else costs[0]).alias("distance"), c["ord"].alias("ord"), c["ident"].alias("ident"))
+
+    best = reads.crossJoin(F.broadcast(table)).withColumn("__best", F.array_min(F.transform("__codes", cost)))
+    ok = F.col("__best.distance") <= mismatches
+    return best.withColumn("ident", F.when(ok, F.col("__best.ident"))).withColumn("distance", F.when(ok, F.col("__best.distance"))).drop("__codes", "__best")
+
+
+def _by_equal_pieces(reads: DataFrame, barcodes: DataFrame, key: list[str], mismatches: int, partial: int, part, code) -> DataFrame:
+    """key, ident, distance of reads with a barcode within the limit: of mismatches + 1 pieces of a barcode one must be equal, so pieces are the keys of an equi-join."""
+    n = mismatches + 1
+    kinds = [barcodes.select("ord", "ident", code(F.col("barcode"), F.char_length("barcode") - k).alias("text"), F.lit(k).alias("lost")) for k in range(min(partial, mismatches) + 1)]
+    codes = kinds[0]
+    for more in kinds[1:]:
+        codes = codes.unionByName(more)
+    codes = codes.withColumn("size", F.char_length("text"))
+
+    def pieces(text: Column) -> Column:
+        cut = lambda j: F.floor(F.col("size") * j / n).cast("int")
+        return F.explode(F.array(*[F.struct(F.lit(j).alias("j"), F.substring(text, cut(j) + 1, cut(j + 1) - cut(j)).alias("piece")) for j in range(n)]))
+
+    sizes = codes.select("size").distinct()  # a row for each length of a barcode
+    rows = reads.crossJoin(F.broadcast(sizes)).withColumn("__s", part(F.col("__s"), F.col("size")))
+    rows = rows.select(*key, "__s", "size", pieces(F.col("__s")).alias("p")).select(*key, "__s", "size", "p.*")
+    near = rows.join(codes.select("ord", "ident", "text", "lost", "size", pieces(F.col("text")).alias("p")).select("ord", "ident", "text", "lost", "size", "p.*"), ["size", "j", "piece"])
+    near = near.withColumn("distance", hamming(F.col("__s"), F.col("text")) + F.col("lost")).where(F.col("distance") <= mismatches)
+    return near.groupBy(*key).agg(F.min(F.struct("distance", "ord", "ident")).alias("b")).select(*key, "b.ident", "b.distance")
+
+
+def best_barcode(reads: DataFrame, barcodes: DataFrame, key: list[str], seq: str, **options) -> DataFrame:
+    """key, ident, distance of with_barcode."""
+    return with_barcode(reads.select(*key, seq), barcodes, key, seq, **options).select(*key, "ident", "distance")
 
 
 def demux(reads: DataFrame, barcodes: DataFrame, key: list[str], seq: str, **options) -> DataFrame:
-    """The reads with ident, 'unmatched' where no barcode fits: write it partitioned by ident."""
-    return reads.join(best_barcode(reads, barcodes, key, seq, **options), key, "left").withColumn("ident", F.coalesce("ident", F.lit("unmatched")))
+    """The reads with ident, 'unmatched' where no barcode fits, and distance: write it partitioned by ident."""
+    return with_barcode(reads, barcodes, key, seq, **options).withColumn("ident", F.coalesce("ident", F.lit("unmatched")))
 
 
 def demux_counts(matched: DataFrame) -> DataFrame:
@@ -42,9 +72,9 @@ def demux_counts(matched: DataFrame) -> DataFrame:
 
 def demux_pairs(pairs: DataFrame, barcodes: DataFrame, key: str, seq1: str, seq2: str, spacer: int = 2, **options) -> DataFrame:
     """The pairs with ident1, ident2, state ('unmatched', 'paired', 'unpaired', 'mispaired'), matched reads clipped by barcode and spacer."""
-    one = best_barcode(pairs, barcodes, [key], seq1, **options).select(key, F.col("ident").alias("ident1"))
-    two = best_barcode(pairs, barcodes, [key], seq2, **options).select(key, F.col("ident").alias("ident2"))
-    both = pairs.join(one, key, "left").join(two, key, "left")
+    both = pairs
+    for k, s in ((1, seq1), (2, seq2)):
+        both = with_barcode(both, barcodes, [key], s, **options).withColumnRenamed("ident", f"ident{k}").drop("distance")
     state = F.when(F.col("ident1").isNull() & F.col("ident2").isNull(), "unmatched").when(F.col("ident1") == F.col("ident2"), "paired").when(F.col("ident1").isNull() | F.col("ident2").isNull(), "unpaired").otherwise("mispaired")
     cut = barcodes.agg(F.max(F.char_length("barcode")).alias("__cut"))
     both = both.withColumn("state", state).crossJoin(F.broadcast(cut))  # one row

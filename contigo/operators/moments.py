@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,11 +31,28 @@ def weighted_moments(df: DataFrame, x: str, y: str, weight: str, by: list[str])
     return sums.select(*by, mx.alias("mean"), (F.col("wxx") / F.col("w") - mx * mx).alias("var"), (F.col("wxy") / F.col("w") - mx * my).alias("cov"))
 
 
-def ranked_histogram(df: DataFrame, x: str, by: list[str]) -> DataFrame:
-    """by, x, n, first (0-based rank of the first of that value), total: ranks without a window over rows."""
+def _beside(a: DataFrame, b: DataFrame, on: list[str]) -> DataFrame:
+    """a with b's other columns where the keys are equal, nulls too."""
+    if not on:
+        return a.crossJoin(F.broadcast(b))  # b is one row
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in on])
+    return a.join(b.withColumnsRenamed({c: f"__{c}" for c in on}), same).drop(*[f"__{c}" for c in on])
+
+
+def ranked_histogram(df: DataFrame, x: str, by: list[str], buckets: int = 64) -> DataFrame:
+    """by, x, n, first (0-based rank of the first of that value), total: of numbers or times.
+
+    A group's distinct values are parted into ranges of about equal size; ranks are running counts within a range, after the
+    counts of the ranges before it. So no window holds all values of a group, however many of them are distinct.
+    """
     h = df.where(F.col(x).isNotNull()).groupBy(*by, x).agg(F.count(F.lit(1)).alias("n"))
-    up = Window.partitionBy(*by).orderBy(x)
-    return h.withColumn("first", F.sum("n").over(up) - F.col("n")).withColumn("total", F.sum("n").over(Window.partitionBy(*by)))
+    bounds = h.groupBy(*by).agg(F.percentile_approx(x, [k / buckets for k in range(1, buckets)], 1000).alias("__bounds"))
+    h = _beside(h, bounds, by).withColumn("__k", F.size(F.filter(F.array_distinct("__bounds"), lambda b: b < F.col(x)))).drop("__bounds")
+    sums = h.groupBy(*by, "__k").agg(F.sum("n").alias("__n"))
+    group = Window.partitionBy(*by)
+    sums = sums.select(*by, "__k", (F.sum("__n").over(group.orderBy("__k")) - F.col("__n")).alias("__before"), F.sum("__n").over(group).alias("total"))  # a row a range
+    inside = F.sum("n").over(Window.partitionBy(*by, "__k").orderBy(x)) - F.col("n")
+    return _beside(h, sums, [*by, "__k"]).select(*by, x, "n", (F.col("__before") + inside).alias("first"), "total")
 
 
 def nearest_rank(df: DataFrame, x: str, by: list[str], parts: list[float]) -> DataFrame:
@@ -69,9 +89,9 @@ def histogram_summary(df: DataFrame, x: str, by: list[str], trim: float = 0.0) -
     cut = F.col("total") * F.lit(trim)
     h = h.where((F.col("first") + F.col("n") > cut) & (F.col("total") - F.col("first") > cut)) if trim else h
     v, n = F.col(x).cast("double"), F.col("n").cast("double")
-    up = Window.partitionBy(*by).orderBy(x)
-    h = h.withColumn("after", F.sum("n").over(up)).withColumn("kept", F.sum("n").over(Window.partitionBy(*by)))
-    return h.groupBy(*by).agg(F.sum("n").alias("n"), (F.sum(v * n) / F.sum(n)).alias("mean"), (F.sum(v * v * n) / F.sum(n) - F.pow(F.sum(v * n) / F.sum(n), F.lit(2))).alias("variance"), F.min(F.when(F.col("after") > F.col("kept") * 0.5, F.col(x))).alias("median"))
+    h = _beside(h, h.groupBy(*by).agg(F.min("first").alias("__cut"), F.sum("n").alias("__kept")), by)
+    reached = F.col("first") + F.col("n") - F.col("__cut") > F.col("__kept") * 0.5
+    return h.groupBy(*by).agg(F.sum("n").alias("n"), (F.sum(v * n) / F.sum(n)).alias("mean"), (F.sum(v * v * n) / F.sum(n) - F.pow(F.sum(v * n) / F.sum(n), F.lit(2))).alias("variance"), F.min(F.when(reached, F.col(x))).alias("median"))
 
 
 def near_mean(df: DataFrame, x: str, by: list[str], sds: float) -> DataFrame:

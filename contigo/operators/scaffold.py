@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.sequence import overlap_length, revcomp
+from .coverage import concatenated_offsets
+from .graph import components
+from .staging import kept
 
 
 def split_at_n(scaffolds: DataFrame, name: str, seq: str, least: int = 1) -> DataFrame:
@@ -51,38 +55,49 @@ def break_at(scaffolds: DataFrame, name: str, seq: str, cuts: DataFrame) -> Data
 
 
 def greedy_layout(contigs: DataFrame, links: DataFrame, least: int = 5, ratio: float = 0.7) -> DataFrame:
-    """scaffold, place, contig, strand, links, gap: the longest contig first, extended at both ends by the best supported link.
+    """scaffold (0 is the one with the longest seed), place, contig, strand, links, gap: the longest contig first, extended at both ends by the best supported link.
 
     A step needs at least so many links; where there are rivals, the second best must have less than a part ratio of the best's links.
-    The layout is a sequential walk over contigs and links only (no reads), so it runs on the driver over those two small tables.
+    No step leaves a component of such links, so components are walked apart, one in one task; contigs without links need no walk.
     """
-    sizes = {r.name: r.len for r in contigs.select("name", "len").collect()}
-    out: dict = {}
-    for r in links.where(F.col("links") >= least).select("src", "src_strand", "dst", "dst_strand", "links", "gaps").collect():
-        out.setdefault((r.src, r.src_strand), []).append((r.links, r.dst, r.dst_strand, r.gaps / r.links))
-    turn, used, rows = {"f": "r", "r": "f"}, set(), []
-
-    def extend(contig: str, strand: str) -> list:
-        path = []
-        while True:
-            free = sorted((x for x in out.get((contig, strand), []) if x[1] not in used), key=lambda x: (-x[0], x[1]))
-            if not free or len(free) > 1 and free[1][0] >= ratio * free[0][0]:
-                return path
-            n, contig, strand, gap = free[0]
-            used.add(contig)
-            path.append((contig, strand, n, gap))
-
-    for k, seed in enumerate(sorted(sizes, key=lambda c: (-sizes[c], c))):
-        if seed in used:
-            continue
-        used.add(seed)
-        ahead = extend(seed, "f")
-        behind = extend(seed, "r")
-        line = [(c, turn[s]) for c, s, _, _ in reversed(behind)] + [(seed, "f")] + [(c, s) for c, s, _, _ in ahead]
-        steps = [(n, g) for _, _, n, g in reversed(behind)] + [(n, g) for _, _, n, g in ahead]
-        rows += [(k, p, c, s, *(steps[p] if p < len(steps) else (None, None))) for p, (c, s) in enumerate(line)]
-    schema = "scaffold long, place int, contig string, strand string, links long, gap double"
-    return contigs.sparkSession.createDataFrame([(a, b, c, d, e if e is None else int(e), g if g is None else float(g)) for a, b, c, d, e, g in rows], schema)
+    schema = "seed string, size long, place int, contig string, strand string, links long, gap double"
+    turn = {"f": "r", "r": "f"}
+
+    def walk(edges: pd.DataFrame, named: pd.DataFrame) -> pd.DataFrame:
+        out: dict = {}
+        for src, strand, dst, turned, n, gap in zip(edges["src"], edges["src_strand"], edges["dst"], edges["dst_strand"], edges["links"], edges["gap"]):
+            out.setdefault((src, strand), []).append((n, dst, turned, gap))
+        sizes, used, rows = dict(zip(named["name"], named["len"])), set(), []
+
+        def extend(contig: str, strand: str) -> list:
+            path = []
+            while True:
+                free = sorted((x for x in out.get((contig, strand), []) if x[1] not in used), key=lambda x: (-x[0], x[1]))
+                if not free or len(free) > 1 and free[1][0] >= ratio * free[0][0]:
+                    return path
+                n, contig, strand, gap = free[0]
+                used.add(contig)
+                path.append((contig, strand, n, gap))
+
+        for seed in sorted(sizes, key=lambda c: (-sizes[c], c)):
+            if seed in used:
+                continue
+            used.add(seed)
+            ahead = extend(seed, "f")
+            behind = extend(seed, "r")
+            line = [(c, turn[s]) for c, s, _, _ in reversed(behind)] + [(seed, "f")] + [(c, s) for c, s, _, _ in ahead]
+            steps = [(n, g) for _, _, n, g in reversed(behind)] + [(n, g) for _, _, n, g in ahead]
+            rows += [(seed, sizes[seed], p, c, s, *(steps[p] if p < len(steps) else (None, None))) for p, (c, s) in enumerate(line)]
+        return pd.DataFrame(rows, columns=["seed", "size", "place", "contig", "strand", "links", "gap"]).astype({"links": "Int64", "gap": "Float64"})
+
+    strong = kept(links.where(F.col("links") >= least).select("src", "src_strand", "dst", "dst_strand", "links", (F.col("gaps") / F.col("links")).alias("gap")))
+    of = kept(components(strong, "src", "dst").toDF("name", "component"))
+    sized = contigs.select("name", F.col("len").cast("long").alias("len")).join(of.toDF("name", "among"), "name", "left")
+    linked = strong.join(of.toDF("src", "component"), "src").groupBy("component").cogroup(sized.where("among IS NOT NULL").groupBy("among")).applyInPandas(walk, schema)
+    alone = sized.where("among IS NULL").selectExpr("name AS seed", "len AS size", "0 AS place", "name AS contig", "'f' AS strand", "cast(NULL AS long) AS links", "cast(NULL AS double) AS gap")
+    layout = kept(linked.unionByName(alone))
+    seeds = concatenated_offsets(layout.select("seed", (-F.col("size")).alias("shortness"), F.lit(1).alias("one")).distinct(), "shortness", "one")
+    return layout.join(seeds.select("seed", F.col("offset").alias("scaffold")), "seed").select("scaffold", "place", "contig", "strand", "links", "gap")
 
 
 def join_layout(layout: DataFrame, contigs: DataFrame, least_overlap: int = 15, most_overlap: int = 50) -> DataFrame:
@@ -121,8 +136,6 @@ def extend_contig(reads: list[str], contig: str, least_overlap: int = 16, least:
 
 def extend_contigs(recruited: DataFrame, **options) -> DataFrame:
     """contig, seq of (contig, seq, read): each contig with the reads recruited to its ends, one contig at a time."""
-    import pandas as pd
-
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         reads = [r for r in pdf["read"] if isinstance(r, str)]
         return pd.DataFrame({"contig": [pdf["contig"].iloc[0]], "seq": [extend_contig(reads, pdf["seq"].iloc[0], **options)]})
@@ -132,8 +145,6 @@ def extend_contigs(recruited: DataFrame, **options) -> DataFrame:
 
 def local_assembly(recruited: DataFrame, least_k: int = 21, step: int = 10, most_k: int = 51) -> DataFrame:
     """contig_end, seq: the reads recruited to each contig end assembled on their own, with growing k, until one contig is left or the reads are too short."""
-    import pandas as pd
-
     def turned(s: str) -> str:
         return s[::-1].translate(str.maketrans("ACGT", "TGCA"))
 

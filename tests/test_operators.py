@@ -87,6 +87,12 @@ def test_moments(spark):
     t = moments.trimmed_mean(df, "v", []).first()
     assert (t.n, round(t["mean"], 9), round(t.sd, 9)) == (len(mid), round(np.mean(mid), 9), round(np.std(mid, ddof=1), 9))
     assert moments.nearest_rank(df, "v", [], [0.5, 0.1]).first()[:] == (up[n // 2], up[n // 10])
+    wide = spark.createDataFrame([(g, rng.random() * 10) for g in ("a", None) for _ in range(700)] + [("a", 3.5)] * 9 + [("b", None)], "g string, v double")
+    got = {(r.g, r.v): (r.n, r["first"], r.total) for r in moments.ranked_histogram(wide, "v", ["g"], 8).collect()}
+    for g in ("a", None):
+        values = sorted(r.v for r in wide.collect() if r.g == g)
+        assert {v: t for (h, v), t in got.items() if h == g} == {v: (values.count(v), values.index(v), len(values)) for v in values}
+    assert {g for g, _ in got} == {"a", None}
     kde = moments.kernel_density(df, "v", 201).orderBy("at").collect()
     assert abs(sum(r.density for r in kde) * (kde[1].at - kde[0].at) - 1) < 0.02
 
@@ -206,6 +212,21 @@ def test_clusters(spark):
     assert rows(cluster.tandem_features(t, ["c"], "f", "p", 10), "p", "feature") == [(1, 1), (2, 1), (30, 30), (5, 1)]
 
 
+def test_barcodes_of_large_tables(spark, monkeypatch):
+    rng = random.Random(5)
+    word = lambda n: "".join(rng.choice("ACGT") for _ in range(n))
+    codes = [(i, f"b{i}", word(rng.choice((5, 6)))) for i in range(40)]
+    reads = [(i, word(rng.randint(0, 9))) for i in range(300)] + [(1000 + i, c[:i % 4] + "T" + c[i % 4 + 1 :] + "GG") for i, _, c in codes]
+    b = spark.createDataFrame(codes, "ord int, ident string, barcode string")
+    r = spark.createDataFrame(reads, "k int, s string")
+    for options in ({}, {"mismatches": 2}, {"mismatches": 2, "partial": 1}, {"partial": 2, "at_end": True}):
+        monkeypatch.setattr(demux, "MOST_BARCODES", 10_000)
+        small = rows(demux.best_barcode(r, b, ["k"], "s", **options), "k", "ident", "distance")
+        monkeypatch.setattr(demux, "MOST_BARCODES", 3)
+        assert rows(demux.best_barcode(r, b, ["k"], "s", **options), "k", "ident", "distance") == small
+        assert len(small) == len(reads) and any(x[1] for x in small) and not all(x[1] for x in small)
+
+
 def test_demux(spark):
     b = spark.createDataFrame([(0, "x", "ACGT"), (1, "y", "ACGA"), (2, "z", "TTTT")], "ord int, ident string, barcode string")
     r = spark.createDataFrame([("1", "ACGTxx"), ("2", "ACGCxx"), ("3", "GGGGxx"), ("4", "CGTxx")], "k string, s string")
@@ -224,6 +245,8 @@ def test_scaffolds(spark):
     l = spark.createDataFrame([("a", "f", "b", "f", 9, 90.0), ("b", "r", "a", "r", 9, 90.0), ("b", "f", "c", "r", 7, -7.0), ("c", "f", "b", "r", 7, -7.0)], "src string, src_strand string, dst string, dst_strand string, links long, gaps double")
     layout = scaffold.greedy_layout(contigs, l)
     assert rows(layout, "place", "contig", "strand") == [(0, "a", "f"), (1, "b", "f"), (2, "c", "r")]
+    alone = contigs.unionByName(spark.createDataFrame([("d", "ACGT", 350), ("e", "ACGT", 350)], contigs.schema))
+    assert rows(scaffold.greedy_layout(alone, l), "scaffold", "place", "contig", "links") == [(0, 0, "a", 9), (0, 1, "b", 7), (0, 2, "c", None), (1, 0, "d", None), (2, 0, "e", None)]
     whole = scaffold.join_layout(layout, contigs).first().seq
     assert whole == a + "N" * 10 + b + "n" + rc(c)
     s = spark.createDataFrame([("s", "NN" + a + "N" * 12 + b + "N" * 5 + c + "N" * 11 + "ACGT" + "N" * 20)], "name string, seq string")
