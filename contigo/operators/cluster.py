@@ -11,7 +11,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.numeric import block_p_value, synteny_distance
 from .islands import near_points
+from .staging import kept
 
 
 @dataclass
@@ -214,6 +216,41 @@ def collinear_chains(points: DataFrame, by: list[str], x: str, y: str, distance:
     return points.groupBy(*by).applyInPandas(one, schema)
 
 
+def synteny_blocks(genes: DataFrame, matches: DataFrame, reach: int = 10, top: int = 5, t: float = 0.05, least: int = 3) -> DataFrame:
+    """contig1, contig2, block, points, x1, x2, y1, y2, p: collinear blocks of matches (gene1, gene2, score) between genes (contig, gene, order, family).
+
+    Tandem genes become one feature, numbered along its contig; of equal pairs of features the best score stays, of a feature's pairs its top ones.
+    The density of points over all cells of all grids gives the greatest distance of neighbours and a block's chance p of arising by accident.
+    """
+    from .hits import merge_duplicate_scores, symmetric_top
+
+    runs = tandem_features(genes, ["contig"], "family", "order", reach)
+    features = runs.select("contig", "feature").distinct().withColumn("rank", F.row_number().over(Window.partitionBy("contig").orderBy("feature")))
+    at = runs.join(features, ["contig", "feature"]).select("gene", F.struct("contig", "rank").alias("f"))
+    pairs = matches.join(at.toDF("gene1", "a"), "gene1").join(at.toDF("gene2", "b"), "gene2").where("a != b")
+    best = symmetric_top(merge_duplicate_scores(pairs, "a", "b", "score"), "a", "b", F.col("score"), top)
+    points = kept(best.selectExpr("a.contig AS contig1", "b.contig AS contig2", "a.rank AS x", "b.rank AS y"))
+    n, size = features.count(), points.count()
+    cells = max(n * (n - 1) // 2, 1)  # all grids: each two features once
+    h = size / cells
+    distance = 1.0
+    if 0 < h < 1:
+        distance = points.sparkSession.range(1).select(synteny_distance(t, F.lit(h))).first()[0]
+    near = int(distance) * (int(distance) - 1)
+    blocks = collinear_chains(points, ["contig1", "contig2"], "x", "y", distance, least).groupBy("contig1", "contig2", "block")
+    blocks = blocks.agg(F.count(F.lit(1)).alias("points"), F.min("x").alias("x1"), F.max("x").alias("x2"), F.min("y").alias("y1"), F.max("y").alias("y2"))
+    return blocks.withColumn("p", block_p_value(F.lit(float(cells)), F.lit(float(near)), F.lit(h), F.col("points") - 1))
+
+
+def mate_pair_part(df: DataFrame, column: str, long: float = 2000.0, least: float = 1500.0) -> tuple[float, float] | None:
+    """Mean and spread of a library of long inserts without its noise and shadow: of three parts the one with the least spread among those with a mean over least; None for libraries with a mean of at most long."""
+    values, counts = value_histogram(df, column)
+    if not counts.sum() or np.average(values, weights=counts) <= long:
+        return None
+    m = fit_mixture(values, counts, 3)
+    return min(((float(a), float(s)) for a, s in zip(m.means, m.sds) if a > least), key=lambda x: x[1], default=None)
+
+
 def assign(df: DataFrame, column: str, m: Mixture) -> DataFrame:
     """The rows with cluster: the likeliest part of a mixture, as one expression."""
     scores = [math.log(w) - math.log(s) - (F.col(column) - float(mu)) * (F.col(column) - float(mu)) / (2 * float(s) ** 2) for w, mu, s in zip(m.weights, m.means, m.sds)]

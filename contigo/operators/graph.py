@@ -322,12 +322,17 @@ def adjacencies(genomes: DataFrame) -> DataFrame:
     return each.select("genome", F.least("x.l", "x.r").alias("l"), F.when(F.col("x.l").isNotNull() & F.col("x.r").isNotNull(), F.greatest("x.l", "x.r")).alias("r"))
 
 
-def dcj_distance(genomes: DataFrame, one: str, other: str) -> DataFrame:
-    """One row: blocks n, cycles c, odd paths i, distance n - (c + i / 2) of two genomes with the same blocks, from components of their adjacency graph."""
+def _shared_ends(genomes: DataFrame, one: str, other: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Adjacencies (id, genome, l, r), pairs of them that share a block's end (a of one, b of the other), and their components (v, component)."""
     adj = adjacencies(genomes.where(F.col("genome").isin(one, other))).withColumn("id", F.concat_ws(":", F.when(F.col("genome") == one, "A").otherwise("B"), "l", F.coalesce("r", F.lit("-"))))
     ends = adj.select("id", F.explode(F.array_compact(F.array("l", "r"))).alias("e"))
     edges = kept(ends.where("id LIKE 'A%'").select(F.col("id").alias("a"), "e").join(ends.where("id LIKE 'B%'").select(F.col("id").alias("b"), "e"), "e"))
-    comp = components(edges.select("a", "b"))
+    return adj, edges, components(edges.select("a", "b"))
+
+
+def dcj_distance(genomes: DataFrame, one: str, other: str) -> DataFrame:
+    """One row: blocks n, cycles c, odd paths i, distance n - (c + i / 2) of two genomes with the same blocks, from components of their adjacency graph."""
+    adj, edges, comp = _shared_ends(genomes, one, other)
     tips = adj.select("id", F.col("r").isNull().cast("int").alias("tip"))
     per = comp.join(tips.withColumnRenamed("id", "v"), "v").groupBy("component").agg(F.sum("tip").alias("tips"))
     per = per.join(edges.join(comp.withColumnRenamed("v", "a"), "a").groupBy("component").agg(F.count(F.lit(1)).alias("edges")), "component")
@@ -335,6 +340,94 @@ def dcj_distance(genomes: DataFrame, one: str, other: str) -> DataFrame:
     return stats.select("n", "c", "i", (F.col("n") - F.col("c") - F.col("i") / 2).alias("distance"))
 
 
+def dcj_operations(genomes: DataFrame, one: str, other: str) -> DataFrame:
+    """component, step, p, q, x, y: joins that turn one genome into the other, as few as the distance: each joins ends p and q, and what they were joined to, x and y (null: a telomere).
+
+    Greedy within a component of the adjacency graph, which no step leaves: first the other genome's adjacencies, then its telomeres.
+    """
+    adj, _, comp = _shared_ends(genomes, one, other)
+
+    def sort(pdf: pd.DataFrame) -> pd.DataFrame:
+        pairs = [(a, None if pd.isna(b) else b) for a, b in zip(pdf["l"], pdf["r"])]
+        mine = [x for x, g in zip(pairs, pdf["genome"]) if g == one]
+        goal = sorted((x for x, g in zip(pairs, pdf["genome"]) if g != one), key=lambda x: (x[1] is None, x[0]))
+        joined = {a: b for a, b in mine} | {b: a for a, b in mine if b is not None}
+        rows = []
+        for p, q in goal:
+            x = joined[p]
+            if x == q:
+                continue
+            y = None if q is None else joined[q]
+            rows.append((pdf["component"].iloc[0], len(rows) + 1, p, q, x, y))
+            for a, b in ((p, q), (x, y)):
+                joined.update({c: d for c, d in ((a, b), (b, a)) if c is not None})
+        return pd.DataFrame(rows, columns=["component", "step", "p", "q", "x", "y"])
+
+    return adj.join(comp.withColumnRenamed("v", "id"), "id").groupBy("component").applyInPandas(sort, "component string, step long, p string, q string, x string, y string")
+
+
 def dot(edges: DataFrame, a: str, b: str, label: str) -> DataFrame:
     """value: the lines of a DOT graph, for a text sink."""
     return edges.select(F.format_string('"%s" -> "%s" [label="%s"];', F.col(a).cast("string"), F.col(b).cast("string"), F.col(label).cast("string")).alias("value"))
+
+
+def gml(edges: DataFrame, a: str, b: str, label: str) -> DataFrame:
+    """value: the lines of a GML graph of whole-number vertices, in their order, for a text sink."""
+    line = lambda part, one, two, value: F.struct(F.lit(part).alias("part"), one.cast("long").alias("one"), two.cast("long").alias("two"), value.alias("value"))
+    none = F.lit(None)
+    nodes = edges.select(F.explode(F.array(a, b)).alias("v")).distinct().select(line(1, F.col("v"), none, F.format_string("  node [ id %d ]", F.col("v").cast("long"))).alias("x"))
+    rows = nodes.unionByName(edges.select(line(2, F.col(a), F.col(b), F.format_string('  edge [ source %d target %d label "%s" ]', F.col(a).cast("long"), F.col(b).cast("long"), F.col(label).cast("string"))).alias("x")))
+    ends = edges.sparkSession.range(1).select(F.explode(F.array(line(0, none, none, F.lit("graph [")), line(0, F.lit(1), none, F.lit("  directed 1")), line(3, none, none, F.lit("]")))).alias("x"))
+    return rows.unionByName(ends).select("x.*").orderBy("part", "one", "two", "value").select("value")
+
+
+# ---- searches over all starts at once, a round of joins a step
+
+
+def shortest_paths(edges: DataFrame, pairs: DataFrame, steps: int = 100) -> DataFrame:
+    """start, goal, path: for pairs (start, goal) with a path of at most so many edges (src, dst) a shortest one, of equally short ones the least; a vertex is its own path.
+
+    Searches that share a start share their rows; a start stops when all its goals are found.
+    """
+    e = kept(edges.select("src", "dst").where("src IS NOT NULL AND dst IS NOT NULL").distinct())
+    left = kept(pairs.select("start", "goal").where("start IS NOT NULL AND goal IS NOT NULL").distinct())
+    front = seen = kept(left.select("start", F.col("start").alias("v")).distinct().withColumn("path", F.array("v")))
+    found = left.where("start = goal").select("start", "goal", F.array("start").alias("path"))
+    left = left.where("start != goal")
+    for _ in range(steps):
+        ways = front.join(left.select("start").distinct(), "start", "left_semi").join(e.withColumnRenamed("src", "v"), "v")
+        ways = ways.groupBy("start", F.col("dst").alias("v")).agg(F.min(F.concat("path", F.array("dst"))).alias("path"))
+        front = kept(ways.join(seen, ["start", "v"], "left_anti"))
+        if not front.limit(1).count():
+            break
+        seen = seen.unionByName(front)
+        hit = left.join(front.withColumnRenamed("v", "goal"), ["start", "goal"])
+        found = found.unionByName(hit.select("start", "goal", "path"))
+        left = kept(left.join(front.select("start", F.col("v").alias("goal")), ["start", "goal"], "left_anti"))
+    return found
+
+
+def reach(edges: DataFrame, vertices: DataFrame, overlap: int, most: int) -> DataFrame:
+    """v, reach: the most bases that a walk from the end of v can add, up to a limit; a vertex of (v, len) adds len less the overlap."""
+    adds = kept(edges.select("src", "dst").distinct().join(vertices.select(F.col("v").alias("dst"), (F.col("len") - overlap).cast("long").alias("add")), "dst"))
+    state = kept(vertices.select("v", F.lit(0).cast("long").alias("reach")))
+    while True:
+        on = adds.join(state.toDF("dst", "far"), "dst").groupBy(F.col("src").alias("v")).agg(F.max(F.least(F.col("far") + F.col("add"), F.lit(most))).alias("far"))
+        new = kept(state.join(on, "v", "left").select("v", F.col("reach").alias("old"), F.greatest("reach", F.coalesce("far", "reach")).alias("reach")))
+        state = new.select("v", "reach")
+        if not new.where("reach != old").limit(1).count():
+            return state
+
+
+def converging(edges: DataFrame, vertices: DataFrame, overlap: int, most: int = 300) -> DataFrame:
+    """v: vertices of (v, len) all of whose branches lead to one common vertex, with at most so many bases between; those without branches aren't among them."""
+    e = kept(edges.select("src", "dst").where("src IS NOT NULL AND dst IS NOT NULL").distinct())
+    adds = kept(e.join(vertices.select(F.col("v").alias("src"), F.greatest(F.col("len") - overlap, F.lit(1)).cast("long").alias("add")), "src"))
+    near = front = kept(e.select(F.col("src").alias("v"), F.col("dst").alias("branch"), F.col("dst").alias("node"), F.lit(-overlap).cast("long").alias("d")))
+    while front.limit(1).count():
+        on = front.join(adds.withColumnRenamed("src", "node"), "node").select("v", "branch", F.col("dst").alias("node"), (F.col("d") + F.col("add")).alias("d")).where(F.col("d") <= most)
+        on = on.groupBy("v", "branch", "node").agg(F.min("d").alias("d"))
+        front = kept(on.join(near.withColumnRenamed("d", "known"), ["v", "branch", "node"], "left").where("known IS NULL OR d < known").drop("known"))
+        near = kept(near.unionByName(front).groupBy("v", "branch", "node").agg(F.min("d").alias("d")))
+    met = near.groupBy("v", "node").agg(F.count(F.lit(1)).alias("met"))
+    return met.join(e.groupBy(F.col("src").alias("v")).agg(F.count(F.lit(1)).alias("branches")), "v").where("met = branches").select("v").distinct()

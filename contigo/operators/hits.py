@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.sequence import revcomp
+
 
 def threshold(df: DataFrame, at_least: dict[str, float] | None = None, at_most: dict[str, float] | None = None, inclusive: bool = True) -> DataFrame:
     """Rows within all bounds; inclusive: bounds themselves pass."""
@@ -61,6 +63,12 @@ def distinct_pairs(df: DataFrame, a: str, b: str) -> DataFrame:
     return df.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
 
 
+def distinct_sequence_pairs(df: DataFrame, a: str, b: str) -> DataFrame:
+    """a, b, n: pairs of sequences, those that are each other's reverse complement (with the mates changed over) counted as one, in the lesser form."""
+    there, back = F.struct(F.col(a).alias("a"), F.col(b).alias("b")), F.struct(revcomp(F.col(b)).alias("a"), revcomp(F.col(a)).alias("b"))
+    return df.select(F.least(there, back).alias("p")).groupBy("p").agg(F.count(F.lit(1)).alias("n")).select("p.a", "p.b", "n")
+
+
 def merge_duplicate_scores(df: DataFrame, a: str, b: str, score: str, average: bool = False) -> DataFrame:
     """a, b, score of unordered pairs: the greatest, or the whole-number average."""
     pairs = df.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"), F.col(score).alias("score"))

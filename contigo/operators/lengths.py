@@ -64,3 +64,9 @@ def longer_than(df: DataFrame, length: str, least: int) -> DataFrame:
 def longest_first(df: DataFrame, length: str, key: str) -> DataFrame:
     """Longest first, equal lengths by key."""
     return df.orderBy(F.col(length).desc(), F.col(key))
+
+
+def joined_longest_first(df: DataFrame, by: list[str], seq: str, key: str, between: str = "") -> DataFrame:
+    """by, seq: the sequences of a group as one, longest first, equal lengths by key."""
+    parts = F.array_sort(F.collect_list(F.struct((-F.char_length(seq)).alias("shortness"), F.col(key).alias("key"), F.col(seq).alias("seq"))))
+    return df.groupBy(*by).agg(F.array_join(F.transform(parts, lambda p: p["seq"]), between).alias(seq))

@@ -91,6 +91,12 @@ def systematic_sample(df: DataFrame, ordinal: str, step: int, handful: int) -> D
     return df.where(F.pmod(F.col(ordinal), F.lit(step)) < handful)
 
 
+def first_and_last(df: DataFrame, ordinal: str, each: int) -> DataFrame:
+    """The first and the last so many rows, by ordinals from 0 without gaps."""
+    last = df.agg(F.max(ordinal).alias("__last"))
+    return df.crossJoin(F.broadcast(last)).where((F.col(ordinal) < each) | (F.col(ordinal) > F.col("__last") - each)).drop("__last")  # one row
+
+
 def ends_of_contigs(contigs: DataFrame, name: str, seq: str, reach: int) -> DataFrame:
     """name, side, seq: only the ends that an insert can reach from; contigs shorter than both ends stay whole."""
     n = F.char_length(seq)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.sequence import revcomp
+from .staging import kept
 
 
 def uniform(*cols) -> Column:
@@ -65,15 +66,35 @@ def one_of_many(mappings: DataFrame, read: str, order: list[str], seed: int = 0)
     return best.select("r.*")
 
 
-def mate_pairs(singles: DataFrame, key: str, pos: str, insert: float, sd: float, circle: int, seed: int = 0) -> DataFrame:
-    """a, b: reads of one strand matched with the one nearest to a normal distance ahead on a circle, each second read once (nearest first read wins). By bins of one standard deviation, not all pairs."""
+def mate_pairs(singles: DataFrame, key: str, pos: str, insert: float, sd: float, circle: int, seed: int = 0, rounds: int = 20) -> DataFrame:
+    """a, b: reads of one strand matched with the one nearest to a normal distance ahead on a circle, each at most once as either (nearest first read wins).
+
+    Reads that lose their mate draw again among those that are left, until a round finds no pair or rounds are over. By bins of one standard deviation, not all pairs.
+    """
     width = max(sd, 1.0)
-    rows = singles.select(F.col(key).alias("a"), F.col(pos).alias("pa"), F.pmod(F.col(pos) + F.round(normal(F.col(key), seed) * sd + insert), F.lit(circle)).alias("goal"))
-    rows = rows.withColumn("bin", F.explode(F.array(*[F.floor(F.col("goal") / width) + d for d in (-1, 0, 1)])))
-    other = singles.select(F.col(key).alias("b"), F.col(pos).alias("pb"), F.floor(F.col(pos) / width).alias("bin"))
-    near = rows.join(other, "bin").where("a != b").withColumn("d", F.abs(F.col("pb") - F.col("goal")))
-    best = near.groupBy("a").agg(F.min_by("b", F.struct("d", "b")).alias("b"), F.min("d").alias("d"))
-    return best.groupBy("b").agg(F.min_by("a", F.struct("d", "a")).alias("a")).select("a", "b")
+    drawing = offered = singles.select(F.col(key).alias("key"), F.col(pos).alias("pos"))
+    pairs = None
+    for k in range(rounds):
+        rows = drawing.select(F.col("key").alias("a"), F.pmod(F.col("pos") + F.round(normal(F.col("key"), seed + k) * sd + insert), F.lit(circle)).alias("goal"))
+        rows = rows.withColumn("bin", F.explode(F.array(*[F.floor(F.col("goal") / width) + d for d in (-1, 0, 1)])))
+        near = rows.join(offered.select(F.col("key").alias("b"), F.col("pos").alias("pb"), F.floor(F.col("pos") / width).alias("bin")), "bin").where("a != b").withColumn("d", F.abs(F.col("pb") - F.col("goal")))
+        best = near.groupBy("a").agg(F.min_by("b", F.struct("d", "b")).alias("b"), F.min("d").alias("d"))
+        new = kept(best.groupBy("b").agg(F.min_by("a", F.struct("d", "a")).alias("a")).select("a", "b"))
+        pairs = new if pairs is None else pairs.unionByName(new)
+        if not new.limit(1).count():
+            break
+        drawing = kept(drawing.join(new.select(F.col("a").alias("key")), "key", "left_anti"))
+        offered = kept(offered.join(new.select(F.col("b").alias("key")), "key", "left_anti"))
+    return pairs
+
+
+def pick_by_weight(df: DataFrame, by: list[str], order: str, weight: str, seed: int = 0) -> DataFrame:
+    """One row of each group, drawn by weight: the first whose running weight exceeds a uniform part of the group's total; groups of no weight have none."""
+    w = Window.partitionBy(*by)
+    rows = df.withColumn("__upto", F.sum(weight).over(w.orderBy(order).rowsBetween(Window.unboundedPreceding, 0))).withColumn("__all", F.sum(weight).over(w))
+    hit = rows.where(F.col("__upto") > uniform(*[F.col(c) for c in by], seed) * F.col("__all"))
+    first = hit.groupBy(*by).agg(F.min_by(F.struct(*[F.col(c) for c in df.columns]), order).alias("__r"))
+    return first.select("__r.*")
 
 
 def noise_points(pairs: DataFrame, key: list[str], n: int, xmax: str, ymax: str, seed: int = 0) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import alignment, numeric, quality
 from ..functions import sequence as seq
-from ..operators import coverage, demux, hits, islands, lengths, links, orthologs, pairing, scaffold, score
+from ..operators import cluster, coverage, demux, graph, hits, islands, lengths, links, orthologs, pairing, scaffold, score, simulate
 from ..operators.staging import _folders, shared_dir
 from ..sources import sinks, text
 from .queries import query, rounded, table
@@ -412,3 +412,82 @@ def q_terminal_reads(s, d):
 @query("""SELECT doc_id FROM documents WHERE len(regexp_extract_all(text, '[^Nn]+')) = 1""")
 def q_single_pieces(s, d):
     return scaffold.single_pieces(scaffold.split_at_n(table(s, d, "documents").select("doc_id", "text"), "doc_id", "text"), "doc_id")[0].select("doc_id")
+
+
+# ---- searches, samples, joined sequences
+
+
+_NEXT = "WITH RECURSIVE e AS (SELECT DISTINCT o_custkey % 200 AS src, (o_custkey % 200 + 1 + o_orderkey % 3 * 7) AS dst FROM orders WHERE o_orderkey % 5 < 2 AND o_custkey % 3 > 0)"
+
+
+def _next(s, d):
+    return table(s, d, "orders").where("o_orderkey % 5 < 2 AND o_custkey % 3 > 0").selectExpr("o_custkey % 200 AS src", "o_custkey % 200 + 1 + o_orderkey % 3 * 7 AS dst").distinct()
+
+
+@query(_NEXT + """, p AS (SELECT DISTINCT c_custkey % 200 AS start, c_custkey % 200 + c_custkey % 31 AS goal FROM customer),
+w AS (SELECT DISTINCT start, start AS v, 0 AS steps FROM p UNION SELECT start, dst, steps + 1 FROM w JOIN e ON src = v WHERE steps < 16)
+SELECT start, goal, CAST(min(steps) AS INT) AS steps FROM p JOIN w USING (start) WHERE v = goal GROUP BY ALL""")
+def q_shortest_paths(s, d):
+    pairs = table(s, d, "customer").selectExpr("c_custkey % 200 AS start", "c_custkey % 200 + c_custkey % 31 AS goal")
+    return graph.shortest_paths(_next(s, d), pairs, 16).select("start", "goal", (F.size("path") - 1).alias("steps"))
+
+
+@query(_NEXT + """, v AS (SELECT DISTINCT x AS v, x % 9 + 31 AS len FROM (SELECT src AS x FROM e UNION SELECT dst FROM e)),
+w AS (SELECT v, v AS at, 0 AS n FROM v UNION SELECT w.v, dst, CAST(least(200, n + len - 21) AS INT) FROM w JOIN e ON src = w.at JOIN v u ON u.v = dst)
+SELECT v, CAST(max(n) AS BIGINT) AS reach FROM w GROUP BY v""")
+def q_reach(s, d):
+    e = _next(s, d)
+    v = e.selectExpr("explode(array(src, dst)) AS v").distinct().selectExpr("v", "v % 9 + 31 AS len")
+    return graph.reach(e, v, 21, 200)
+
+
+@query(_NEXT + """, w AS (SELECT src AS v, dst AS branch, dst AS node, -21 AS d FROM e UNION SELECT v, branch, dst, CAST(d + node % 9 + 10 AS INT) FROM w JOIN e ON src = node WHERE d + node % 9 + 10 <= 60),
+m AS (SELECT v, node, count(DISTINCT branch) AS met FROM w GROUP BY ALL), b AS (SELECT src AS v, count(*) AS n FROM e GROUP BY 1)
+SELECT DISTINCT v FROM m JOIN b USING (v) WHERE met = n""")
+def q_converging(s, d):
+    e = _next(s, d)
+    v = e.selectExpr("explode(array(src, dst)) AS v").distinct().selectExpr("v", "v % 9 + 31 AS len")
+    return graph.converging(e, v, 21, 60)
+
+
+@query(_READS + """, x AS (SELECT left(seq, 5) AS a, right(seq, 5) AS b FROM r), y AS (SELECT a, b, reverse(translate(b, 'ACGT', 'TGCA')) AS c, reverse(translate(a, 'ACGT', 'TGCA')) AS e FROM x)
+SELECT CASE WHEN (a, b) <= (c, e) THEN a ELSE c END AS a, CASE WHEN (a, b) <= (c, e) THEN b ELSE e END AS b, count(*) AS n FROM y GROUP BY ALL""")
+def q_distinct_sequence_pairs(s, d):
+    return hits.distinct_sequence_pairs(_reads(s, d).selectExpr("left(seq, 5) AS a", "right(seq, 5) AS b"), "a", "b")
+
+
+@query("SELECT doc_id FROM documents WHERE doc_id < 100 OR doc_id > (SELECT max(doc_id) FROM documents) - 100")
+def q_first_and_last(s, d):
+    return links.first_and_last(table(s, d, "documents").select("doc_id"), "doc_id", 100)
+
+
+@query("SELECT p_brand, md5(string_agg(p_name, '|' ORDER BY length(p_name) DESC, p_partkey)) AS joined FROM part GROUP BY 1")
+def q_joined_longest_first(s, d):
+    return lengths.joined_longest_first(table(s, d, "part"), ["p_brand"], "p_name", "p_partkey", "|").select("p_brand", F.md5("p_name").alias("joined"))
+
+
+@query("SELECT l_orderkey AS o, count(*) AS n FROM lineitem GROUP BY 1")
+def q_pick_by_weight(s, d):
+    # what was drawn depends on hashes; that each group has one row of its own doesn't
+    rows = table(s, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    one = simulate.pick_by_weight(rows, ["l_orderkey"], "l_linenumber", "l_quantity")
+    return one.join(rows, ["l_orderkey"]).groupBy(F.col("l_orderkey").alias("o")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT translate(lpad(CAST(p_partkey * 7919 AS VARCHAR), 9, '0'), '0123456789', 'ACGTACGTAC') AS seq, translate(lpad(CAST(p_partkey * 7919 AS VARCHAR), 9, '0'), '0123456789', '+++++IIIII') AS qual FROM part")
+def q_prb_round_trip(s, d):
+    p = table(s, d, "part").selectExpr("split(lpad(cast(p_partkey * 7919 AS string), 9, '0'), '') AS digits")
+    score = "transform(sequence(0, 3), j -> if(j = cast(x AS int) % 8 % 4, if(cast(x AS int) < 5, 10, 40), -cast(x AS int) - 5))"
+    lines = p.selectExpr(f"concat_ws('\t', transform(filter(digits, x -> x != ''), x -> concat_ws(' ', transform({score}, y -> lpad(cast(y AS string), 4, ' '))))) AS value")
+    return text.read_prb(s, written(s, lines)).select("seq", "qual")
+
+
+@query("""WITH e AS (SELECT DISTINCT p_size AS a, p_size + 50 AS b FROM part)
+SELECT 'graph [' AS value UNION ALL SELECT '  directed 1' UNION ALL SELECT ']' UNION ALL SELECT '  node [ id ' || v || ' ]' FROM (SELECT a AS v FROM e UNION SELECT b FROM e) UNION ALL SELECT '  edge [ source ' || a || ' target ' || b || ' label "' || a || '" ]' FROM e""")
+def q_gml_lines(s, d):
+    return graph.gml(table(s, d, "part").selectExpr("p_size AS a", "p_size + 50 AS b").distinct(), "a", "b", "a")
+
+
+@query("SELECT l_suppkey AS contig1, l_linenumber AS contig2, l_suppkey || '_' || l_partkey || chr(9) || l_linenumber || '_' || l_orderkey || chr(9) || CAST(max(CAST(l_quantity AS INT)) AS VARCHAR) AS value FROM lineitem GROUP BY l_suppkey, l_partkey, l_linenumber, l_orderkey")
+def q_synteny_match_lines(s, d):
+    return sinks.synteny_matches(table(s, d, "lineitem").withColumn("q", F.col("l_quantity").cast("int")), "l_suppkey", "l_partkey", "l_linenumber", "l_orderkey", "q")

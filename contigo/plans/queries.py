@@ -587,10 +587,19 @@ def q_longest_paths(s, d):
 
 @query()
 def q_dcj_distance(s, d):
+    return graph.dcj_distance(_genomes(s, d), "a", "b")
+
+
+def _genomes(s, d):
     chromosomes = table(s, d, "part").groupBy(F.col("p_brand").alias("chromosome"))
     a = chromosomes.agg(F.sort_array(F.collect_list("p_partkey")).alias("b")).select(F.lit("a").alias("genome"), "chromosome", F.transform("b", lambda x: x.cast("int")).alias("blocks"))
     b = chromosomes.agg(F.sort_array(F.collect_list(F.struct("p_size", "p_partkey"))).alias("b")).select(F.lit("b").alias("genome"), "chromosome", F.transform("b", lambda x: F.when(x["p_size"] % 2 == 0, x["p_partkey"]).otherwise(-x["p_partkey"]).cast("int")).alias("blocks"))
-    return graph.dcj_distance(a.unionByName(b), "a", "b")
+    return a.unionByName(b)
+
+
+@query()
+def q_dcj_operations(s, d):
+    return graph.dcj_operations(_genomes(s, d), "a", "b")
 
 
 # ---- clusters
@@ -635,6 +644,14 @@ def q_collinear_chains(s, d):
     return cluster.collinear_chains(p, ["grid"], "x", "y", 120.0, 3)
 
 
+@query()
+def q_synteny_blocks(s, d):
+    genes = table(s, d, "part").selectExpr("p_brand AS contig", "p_partkey AS gene", "p_partkey AS order", "p_type AS family")
+    one = table(s, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    matches = one.join(one.select("l_orderkey", (F.col("l_linenumber") - 1).alias("l_linenumber"), F.col("l_partkey").alias("gene2")), ["l_orderkey", "l_linenumber"])
+    return cluster.synteny_blocks(genes, matches.select(F.col("l_partkey").alias("gene1"), "gene2", F.col("l_quantity").alias("score")))
+
+
 # ---- demultiplexing, scaffolds, scores, sampling
 
 

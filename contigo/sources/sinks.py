@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.sequence import revcomp, wrap
@@ -92,5 +92,18 @@ def synteny_maps(points: DataFrame, contig: str, pos: str) -> DataFrame:
     return rows.select(contig, "rank", F.concat_ws("\t", F.concat_ws("_", F.col(contig).cast("string"), F.col("pos").cast("string")), F.lit("1")).alias("value"))
 
 
+def synteny_matches(points: DataFrame, contig1: str, pos1: str, contig2: str, pos2: str, score: str) -> DataFrame:
+    """contig1, contig2, value: match lines between the names of synteny_maps, one a pair of positions with its best score."""
+    end = lambda c, p: F.concat_ws("_", F.col(c).cast("string"), F.col(p).cast("string"))
+    best = points.groupBy(contig1, pos1, contig2, pos2).agg(F.max(score).alias("__best"))
+    return best.select(F.col(contig1).alias("contig1"), F.col(contig2).alias("contig2"), F.concat_ws("\t", end(contig1, pos1), end(contig2, pos2), F.col("__best").cast("string")).alias("value"))
+
+
+def synteny_control(spark: SparkSession, maps: list[tuple[int, str]], matches: list[tuple[int, int, str]]) -> DataFrame:
+    """value: the lines of a control file that names map and match files, in order."""
+    lines = ["-maps", *(f"{c}\t{path}" for c, path in maps), "end", "-matches", *(f"{a}\t{b}\t{path}" for a, b, path in matches), "end"]
+    return spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1)
+
+
 def sorted_by_length(df: DataFrame, seq: str, key: str) -> DataFrame:
     return df.orderBy(F.char_length(seq).desc(), key)

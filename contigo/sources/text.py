@@ -246,3 +246,14 @@ def read_scarf(spark: SparkSession, path: str) -> DataFrame:
 
     m = r"^(.*):([ACGTN.]+):(.*)$"
     return spark.read.text(path).where(F.col("value").rlike(m)).select(F.regexp_extract("value", m, 1).alias("name"), F.translate(F.regexp_extract("value", m, 2), ".", "N").alias("seq"), shift(F.regexp_extract("value", m, 3), -31).alias("qual"))
+
+
+def read_prb(spark: SparkSession, path: str) -> DataFrame:
+    """file, ord, seq, qual (offset 33) of lines of four scores a base, in the order A, C, G, T: the base with the best score, the first one on ties, N where none is positive."""
+    from ..functions.quality import encode, solexa_to_phred
+
+    groups = F.filter(F.split("value", r"\t"), lambda g: F.trim(g) != "")
+    scores = F.transform(groups, lambda g: F.transform(F.split(F.trim(g), r"\s+"), lambda x: x.try_cast("int")))
+    rows = numbered_lines(spark, path).where("trim(value) != ''").withColumn("s", scores)
+    base = F.transform("s", lambda x: F.when(F.array_max(x) > 0, F.get(F.array(*map(F.lit, "ACGT")), F.array_position(x, F.array_max(x)).cast("int") - 1)).otherwise("N"))
+    return rows.select("file", "ord", F.array_join(base, "").alias("seq"), encode(solexa_to_phred(F.transform("s", lambda x: F.array_max(x)))).alias("qual"))

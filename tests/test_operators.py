@@ -159,6 +159,53 @@ def test_graph_operators(spark):
 def test_dcj(spark, a, b, want):
     g = spark.createDataFrame([("a", k, x) for k, x in enumerate(a)] + [("b", k, x) for k, x in enumerate(b)], "genome string, chromosome int, blocks array<int>")
     assert graph.dcj_distance(g, "a", "b").first().distance == want
+    ends = lambda genome: {frozenset((r.l, r.r)) for r in graph.adjacencies(g).where(F.col("genome") == genome).collect()}
+    steps, now = graph.dcj_operations(g, "a", "b").orderBy("component", "step").collect(), ends("a")
+    for r in steps:
+        now = now - {frozenset((r.p, r.x)), frozenset((r.q, r.y))} | {frozenset(e) for e in ((r.p, r.q), (r.x, r.y)) if e != (None, None)}
+    assert len(steps) == want and now == ends("b")
+
+
+def test_searches_and_draws(spark):
+    rng = random.Random(3)
+    e = sorted({(rng.randrange(30), rng.randrange(30)) for _ in range(60)})
+    edges = spark.createDataFrame(e, "src int, dst int")
+    pairs = [(a, b) for a in range(0, 30, 3) for b in range(0, 30, 2)]
+    want = {}
+    for a, b in pairs:
+        layer, seen, n = {a: [a]}, {a}, 0
+        while layer and n <= 6:
+            if b in layer:
+                want[a, b] = layer[b]
+                break
+            step = {}
+            for v, path in layer.items():
+                for x, w in e:
+                    if x == v and w not in seen:
+                        step[w] = min(step.get(w, [99]), [*path, w])
+            seen |= set(step)
+            layer, n = step, n + 1
+    assert {(r.start, r.goal): list(r.path) for r in graph.shortest_paths(edges, spark.createDataFrame(pairs, "start int, goal int"), 6).collect()} == want
+    same = spark.createDataFrame([(i, 10.0 * i) for i in range(40)], "k int, p double")
+    got = rows(simulate.mate_pairs(same, "k", "p", 100.0, 5.0, 400))
+    assert len({a for a, _ in got}) == len({b for _, b in got}) == len(got) > 30
+    w = spark.createDataFrame([(g, i, float(i)) for g in range(4000) for i in range(4)], "g int, i int, w double")
+    n = dict(simulate.pick_by_weight(w, ["g"], "i", "w").groupBy("i").count().collect())
+    assert 0 not in n and sum(n.values()) == 4000 and all(abs(n[i] / 4000 - i / 6) < 0.03 for i in (1, 2, 3))
+
+
+def test_synteny_blocks(spark):
+    rng = random.Random(4)
+    genes = [(c, 1000 * c + i, i, f"f{c}_{i}") for c in (1, 2) for i in range(200)]
+    lines = [(1000 + 20 + i, 2000 + 50 + i) for i in range(8)] + [(1000 + 120 + i, 2000 + 150 - i) for i in range(6)]
+    noise = [(1000 + rng.randrange(200), 2000 + rng.randrange(200)) for _ in range(20)]
+    matches = spark.createDataFrame([(a, b, 10.0) for a, b in lines + noise], "gene1 int, gene2 int, score double")
+    got = cluster.synteny_blocks(spark.createDataFrame(genes, "contig int, gene int, order int, family string"), matches).orderBy("block").collect()
+    assert [(r.x1, r.x2, r.y1, r.y2) for r in got if r.points >= 6] == [(21, 28, 51, 58), (121, 126, 146, 151)]
+    assert got[0].p < got[1].p < 1e-3
+    long = spark.createDataFrame([(rng.gauss(m, s),) for m, s, n in ((300, 60, 700), (4000, 300, 3000), (3000, 1500, 600)) for _ in range(n)], "v double")
+    mean, sd = cluster.mate_pair_part(long, "v")
+    assert abs(mean - 4000) < 60 and abs(sd - 300) < 60 and cluster.mate_pair_part(long.where("v < 1000"), "v") is None
 
 
 def genome(n, seed):

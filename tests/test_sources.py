@@ -84,3 +84,10 @@ def test_sinks(spark, tmp_path):
     assert rows(sinks.fastq_to_fasta(df, no_n=True), "value") == [(">a\nACGTACGTAC",)]
     sinks.write_lines(sinks.to_fasta(df, F.col("name"), "seq", keep=["k"]), str(tmp_path / "out"), by=["k"])
     assert spark.read.text(str(tmp_path / "out/k=y")).count() == 2
+
+
+def test_prb_and_synteny_files(spark, put):
+    p = text.read_prb(spark, put("a.prb", "  40  -40  -40  -40\t -5 -5 -5 -5\t -40 20 20 -40\n\n -40 -40 -40 10\n")).orderBy("ord")
+    assert rows(p, "seq", "qual") == [("ANC", "I\"5"), ("T", "+")]
+    control = "".join(f"{r.value}\n" for r in sinks.synteny_control(spark, [(1, "m1"), (2, "m2")], [(1, 2, "x")]).collect())
+    assert rows(text.read_synteny_control(spark, put("c.txt", control)), "section", "contig1", "contig2", "path") == [("maps", 1, None, "m1"), ("maps", 2, None, "m2"), ("matches", 1, 2, "x")]
