@@ -196,6 +196,50 @@ def remove_rising_coverage(kmers: DataFrame, k: int, start: float, stop: float,
     return kmers
 
 
+def unitig_links(tigs: DataFrame, k: int) -> DataFrame:
+    """src, src_turned, dst, dst_turned: which strand of a unitig (id, seq) follows which, by an equi-join on the k - 1 bases that they share."""
+    both = tigs.select("id", F.lit(False).alias("turned"), "seq").unionByName(tigs.select("id", F.lit(True).alias("turned"), revcomp(F.col("seq")).alias("seq")))
+    out = both.select(F.col("id").alias("src"), F.col("turned").alias("src_turned"), F.expr(f"right(seq, {k - 1})").alias("mid"))
+    return out.join(both.select(F.col("id").alias("dst"), F.col("turned").alias("dst_turned"), F.expr(f"left(seq, {k - 1})").alias("mid")), "mid").drop("mid")
+
+
+def local_coverage(tigs: DataFrame, links: DataFrame, region: int) -> DataFrame:
+    """id, around: mean coverage of the k-mers within a region on either side of a unitig (id, kmers, coverage), itself left out; 0 where nothing follows. Breadth first, a round of joins a step, each neighbour once a side."""
+    links = kept(links)
+    sizes = tigs.select(F.col("id").alias("at"), "kmers", "coverage")
+    front = tigs.select("id", F.explode(F.array(F.lit(False), F.lit(True))).alias("side")).select("id", "side", F.col("id").alias("at"), F.col("side").alias("turned"), F.lit(0).cast("long").alias("d"), F.lit(0).cast("long").alias("covered"))
+    seen = front = kept(front)
+    while front.limit(1).count():
+        near = front.where(F.col("d") < region).join(links.toDF("at", "turned", "dst", "dst_turned"), ["at", "turned"])
+        near = near.groupBy("id", "side", F.col("dst").alias("at")).agg(F.min(F.struct("d", F.col("dst_turned").alias("turned"))).alias("m"))
+        near = near.join(seen.select("id", "side", "at"), ["id", "side", "at"], "left_anti").join(sizes, "at")
+        front = kept(near.select("id", "side", "at", "m.turned", (F.col("m.d") + F.col("kmers")).alias("d"), F.least("kmers", region - F.col("m.d")).alias("covered")))
+        seen = seen.unionByName(front)
+    weight = F.sum("covered")
+    return seen.join(sizes, "at").groupBy("id").agg(F.coalesce(F.sum(F.col("covered") * F.col("coverage")) / F.nullif(weight, F.lit(0)), F.lit(0.0)).alias("around"))
+
+
+def remove_local_low_coverage(kmers: DataFrame, k: int, least: float, most_length: int, ratio: float = 0.2, region: int = 1000, by_component: bool = False, least_size: int = 10, most_size: int = 30) -> DataFrame:
+    """The k-mers without unbranched unitigs shorter than most_length + k - 1 whose coverage is below least and below a part ratio of that around them.
+
+    Without by_component, short dead ends go too. With it, only components of more than least_size unitigs are cleaned, and in those of more
+    than most_size also what is covered less than the component's mean.
+    """
+    tigs = kept(unitig_ends(unitigs(kmers, k), k).withColumn("id", F.md5("seq")))
+    links = kept(unitig_links(tigs, k))
+    rows = tigs.join(local_coverage(tigs, links, region), "id")
+    short, plain = F.char_length("seq") < most_length + k - 1, (F.col("left") <= 1) & (F.col("right") <= 1)
+    low = F.col("coverage") < F.least(F.lit(float(least)), F.col("around") * ratio)
+    if by_component:
+        comp = kept(components(links.select("src", "dst"), "src", "dst").toDF("id", "component"))
+        mean = tigs.join(comp, "id").groupBy("component").agg(F.count(F.lit(1)).alias("size"), (F.sum("total") / F.sum("kmers")).alias("mean"))
+        rows = rows.join(comp, "id").join(mean, "component").where(F.col("size") > least_size)
+        bad = short & plain & (low | ((F.col("size") > most_size) & (F.col("coverage") < F.col("mean"))))
+    else:
+        bad = short & (plain | (F.col("left") == 0) | (F.col("right") == 0)) & low
+    return kept(kmers.join(kmers_of(rows.where(bad), k).select("kmer"), "kmer", "left_anti"))
+
+
 def pop_bubbles(kmers: DataFrame, k: int) -> DataFrame:
     """The k-mers with only the best covered of parallel unitigs: between the same two ends, of the same length, up to 2k long."""
     tigs = unitig_ends(unitigs(kmers, k), k).where((F.col("left") > 0) & (F.col("right") > 0) & (F.char_length("seq") <= 2 * k))

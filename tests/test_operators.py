@@ -14,6 +14,7 @@ from contigo.operators import cluster, coverage, demux, graph, hits, islands, km
 from contigo.plans import assembly
 
 COMP = str.maketrans("ACGT", "TGCA")
+COMP_OF = dict(zip("ACGT", "TGCA"))
 
 
 def rc(s):
@@ -446,3 +447,19 @@ def test_kmers_of_long_sequences_in_linear_time(spark):
         kmers.kmer_counts(one, "s", 21).agg(F.sum("n")).collect()
         took.append(time.time() - began)
     assert took[1] < 12 * max(took[0], 1)
+
+
+def test_local_low_coverage(spark):
+    k, g = 11, genome(150, 9)
+    other = g[:70] + COMP_OF[g[70]] + g[71:]
+    seen = lambda text: {min(text[i : i + k], rc(text[i : i + k])) for i in range(len(text) - k + 1)}
+    extra = seen(other) - seen(g)
+    table = spark.createDataFrame([(x, 20) for x in seen(g)] + [(x, 2) for x in extra], "kmer string, n long")
+    tigs = graph.unitigs(table, k).withColumn("id", F.md5("seq")).cache()
+    around = {r.coverage: r.around for r in tigs.join(graph.local_coverage(tigs, graph.unitig_links(tigs, k), 30), "id").collect() if r.kmers == k}
+    assert around == {20.0: 20.0, 2.0: 20.0}
+    left = {r.kmer for r in graph.remove_local_low_coverage(table, k, 5, 20, region=30).collect()}
+    assert left == seen(g)
+    assert {r.kmer for r in graph.remove_local_low_coverage(table, k, 1, 20, region=30).collect()} == seen(g) | extra
+    assert {r.kmer for r in graph.remove_local_low_coverage(table, k, 5, 20, region=30, by_component=True).collect()} == seen(g) | extra
+    assert {r.kmer for r in graph.remove_local_low_coverage(table, k, 1, 20, region=30, by_component=True, least_size=3, most_size=3).collect()} == seen(g)
