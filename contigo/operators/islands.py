@@ -103,12 +103,16 @@ def fuzzy_merge(df: DataFrame, by: list[str], start: str, end: str, slack: int)
 
 
 def near_points(df: DataFrame, by: list[str], key: str, x: str, y: str, eps: float) -> DataFrame:
-    """by, key, other: pairs of points with both coordinates within eps, by a join on cells of that size and their neighbours."""
-    cell = df.select(*by, F.col(key).alias("a"), F.col(x).alias("ax"), F.col(y).alias("ay"), F.floor(F.col(x) / eps).alias("__i"), F.floor(F.col(y) / eps).alias("__j"))
-    around = df.select(*by, F.col(key).alias("b"), F.col(x).alias("bx"), F.col(y).alias("by_"), F.floor(F.col(x) / eps).alias("__ci"), F.floor(F.col(y) / eps).alias("__cj"))
+    """by, key, other: pairs of points with both coordinates within eps, by a join on cells of that size and their neighbours.
+
+    Differences of a float column are held against eps as a float, which may be a little more than eps; cells are wider by more than that and by what rounding adds.
+    """
+    kinds = dict(df.dtypes)
+    near = lambda c, one, other: F.abs(F.col(one) - F.col(other)) <= (F.lit(eps).cast("float") if kinds[c] == "float" else F.lit(eps))
+    at = lambda c: F.floor(F.col(c) / F.lit(eps * (1 + 1e-6)))
+    cell = df.select(*by, F.col(key).alias("a"), F.col(x).alias("ax"), F.col(y).alias("ay"), at(x).alias("__i"), at(y).alias("__j"))
+    around = df.select(*by, F.col(key).alias("b"), F.col(x).alias("bx"), F.col(y).alias("by_"), at(x).alias("__ci"), at(y).alias("__cj"))
     around = around.withColumn("__di", F.explode(F.array(*[F.lit(k) for k in (-1, 0, 1)]))).withColumn("__dj", F.explode(F.array(*[F.lit(k) for k in (-1, 0, 1)])))
     around = around.select(*by, "b", "bx", "by_", (F.col("__ci") + F.col("__di")).alias("__i"), (F.col("__cj") + F.col("__dj")).alias("__j"))
-    pairs = cell.join(around, [*by, "__i", "__j"]).where((F.abs(F.col("ax") - F.col("bx")) <= eps) & (F.abs(F.col("ay") - F.col("by_")) <= eps) & (F.col("a") != F.col("b")))
+    pairs = cell.join(around, [*by, "__i", "__j"]).where(near(x, "ax", "bx") & near(y, "ay", "by_") & (F.col("a") != F.col("b")))
     return pairs.select(*by, F.col("a").alias(key), F.col("b").alias("other"))
-
-

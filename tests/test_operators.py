@@ -260,6 +260,16 @@ def test_clusters(spark):
     assert rows(cluster.tandem_features(t, ["c"], "f", "p", 10), "p", "feature") == [(1, 1), (2, 1), (30, 30), (5, 1)]
 
 
+def test_near_points_of_floats(spark):
+    """Differences that are equal to eps as a float, though a little more than it as a double, also where they lie two cells of eps apart."""
+    x = [0.0, 0.05, 0.1, 0.15000000596046448, 0.25, 0.3]
+    points = spark.createDataFrame([(i, "g", v, 0.0) for i, v in enumerate(x)], "k int, g string, x float, y double")
+    f = np.array(x, np.float32)
+    want = [(i, sum(abs(a - b) <= np.float32(0.05) for j, b in enumerate(f) if j != i)) for i, a in enumerate(f)]
+    assert want[0] == (0, 1) and want[1][1] == 2
+    assert rows(cluster.neighbour_counts(points, ["g"], "k", "x", "y", 0.05), "k", "neighbours") == want
+
+
 def test_barcodes_of_large_tables(spark, monkeypatch):
     rng = random.Random(5)
     word = lambda n: "".join(rng.choice("ACGT") for _ in range(n))
