@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections import defaultdict, deque
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -366,20 +367,60 @@ def adjacencies(genomes: DataFrame) -> DataFrame:
     return each.select("genome", F.least("x.l", "x.r").alias("l"), F.when(F.col("x.l").isNotNull() & F.col("x.r").isNotNull(), F.greatest("x.l", "x.r")).alias("r"))
 
 
-def _shared_ends(genomes: DataFrame, one: str, other: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Adjacencies (id, genome, l, r), pairs of them that share a block's end (a of one, b of the other), and their components (v, component)."""
-    adj = adjacencies(genomes.where(F.col("genome").isin(one, other))).withColumn("id", F.concat_ws(":", F.when(F.col("genome") == one, "A").otherwise("B"), "l", F.coalesce("r", F.lit("-"))))
-    ends = adj.select("id", F.explode(F.array_compact(F.array("l", "r"))).alias("e"))
-    edges = kept(ends.where("id LIKE 'A%'").select(F.col("id").alias("a"), "e").join(ends.where("id LIKE 'B%'").select(F.col("id").alias("b"), "e"), "e"))
-    return adj, edges, components(edges.select("a", "b"))
+#: Edges of a graph of whole numbers that one task takes up (two arrays of 32 MB and some of their size).
+MOST_EDGES = 4_000_000
+
+
+def _contracted(edges: DataFrame, most: int) -> DataFrame:
+    """v, root: a vertex of its component for each vertex of (a, b), non-negative whole numbers; a lone vertex is an edge with itself.
+
+    While there are more than so many edges, each vertex goes to the vertex of least hash among itself and its neighbours, which halves rings and
+    paths in each round; what is left is one task's.
+    """
+
+    def last(batches):
+        parts = [pdf.to_numpy("int64") for pdf in batches]
+        ends = np.concatenate(parts) if parts else np.zeros((0, 2), np.int64)
+        v, at = np.unique(ends, return_inverse=True)
+        a, b = at.reshape(-1, 2).T
+        up = np.arange(len(v))
+        while len(a):
+            np.minimum.at(up, np.maximum(a, b), np.minimum(a, b))  # a and b are roots
+            while (up != (far := up[up])).any():
+                up = far
+            a, b = up[a], up[b]
+            a, b = a[a != b], b[a != b]
+        for i in range(0, len(v), 100_000):
+            yield pd.DataFrame({"v": v[i : i + 100_000], "root": v[up[i : i + 100_000]]})
+
+    left, ways = kept(edges.select(F.col("a").cast("long"), F.col("b").cast("long")).distinct()), []
+    while left.where("a != b").limit(most + 1).count() > most:
+        rank = lambda c: F.struct(F.xxhash64(c, F.lit(len(ways))), F.col(c).alias("v"))
+        near = left.union(left.select("b", "a")).groupBy(F.col("a").alias("v")).agg(F.min(rank("b")).alias("least"))
+        ways.append(kept(near.select("v", F.least("least", rank("v"))["v"].alias("to"))))
+        left = left.where("a != b").join(ways[-1].toDF("a", "x"), "a").join(ways[-1].toDF("b", "y"), "b")
+        left = kept(left.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).where("a != b").distinct())
+    roots = kept(left.repartition(1).mapInPandas(last, "v long, root long"))
+    for way in reversed(ways):
+        roots = kept(way.join(roots.withColumnRenamed("v", "to"), "to", "left").select("v", F.coalesce("root", "to").alias("root")))
+    return roots
+
+
+def _shared_ends(genomes: DataFrame, one: str, other: str) -> DataFrame:
+    """first, l, r, root of the adjacencies of two genomes: whether it is the first one's, its ends as numbers (-1: a telomere), and an end of its
+    component, in which adjacencies that share a block's end are."""
+    code = lambda c: F.expr(f"2 * CAST(left({c}, char_length({c}) - 1) AS BIGINT) + CAST(right({c}, 1) = 'h' AS INT)")
+    adj = adjacencies(genomes.where(F.col("genome").isin(one, other)))
+    adj = kept(adj.select((F.col("genome") == one).alias("first"), code("l").alias("l"), F.coalesce(code("r"), F.lit(-1)).alias("r")))
+    roots = _contracted(adj.select(F.col("l").alias("a"), F.when(F.col("r") < 0, F.col("l")).otherwise(F.col("r")).alias("b")), MOST_EDGES)
+    return adj.join(roots.withColumnRenamed("v", "l"), "l")
 
 
 def dcj_distance(genomes: DataFrame, one: str, other: str) -> DataFrame:
     """One row: blocks n, cycles c, odd paths i, distance n - (c + i / 2) of two genomes with the same blocks, from components of their adjacency graph."""
-    adj, edges, comp = _shared_ends(genomes, one, other)
-    tips = adj.select("id", F.col("r").isNull().cast("int").alias("tip"))
-    per = comp.join(tips.withColumnRenamed("id", "v"), "v").groupBy("component").agg(F.sum("tip").alias("tips"))
-    per = per.join(edges.join(comp.withColumnRenamed("v", "a"), "a").groupBy("component").agg(F.count(F.lit(1)).alias("edges")), "component")
+    ends = _shared_ends(genomes, one, other).select("root", "first", (F.col("r") < 0).cast("int").alias("tip"), F.explode(F.array("l", "r")).alias("e")).where("e >= 0")
+    each = ends.groupBy("root", "e").agg((F.count_if("first") * F.count_if(~F.col("first"))).alias("edges"), F.sum("tip").alias("tips"))
+    per = each.groupBy("root").agg(F.sum("tips").alias("tips"), F.sum("edges").alias("edges")).where("edges > 0")
     stats = per.agg(F.count_if(F.expr("tips = 0")).alias("c"), F.count_if(F.expr("tips > 0 AND edges % 2 = 1")).alias("i"), (F.sum("edges") / 2).cast("long").alias("n"))
     return stats.select("n", "c", "i", (F.col("n") - F.col("c") - F.col("i") / 2).alias("distance"))
 
@@ -389,25 +430,27 @@ def dcj_operations(genomes: DataFrame, one: str, other: str) -> DataFrame:
 
     Greedy within a component of the adjacency graph, which no step leaves: first the other genome's adjacencies, then its telomeres.
     """
-    adj, _, comp = _shared_ends(genomes, one, other)
 
     def sort(pdf: pd.DataFrame) -> pd.DataFrame:
-        pairs = [(a, None if pd.isna(b) else b) for a, b in zip(pdf["l"], pdf["r"])]
-        mine = [x for x, g in zip(pairs, pdf["genome"]) if g == one]
-        goal = sorted((x for x, g in zip(pairs, pdf["genome"]) if g != one), key=lambda x: (x[1] is None, x[0]))
-        joined = {a: b for a, b in mine} | {b: a for a, b in mine if b is not None}
+        name = lambda e: None if e < 0 else f"{e >> 1}{'th'[e & 1]}"
+        pairs, first = list(zip(pdf["l"].tolist(), pdf["r"].tolist())), pdf["first"].tolist()
+        mine = [x for x, g in zip(pairs, first) if g]
+        goal = sorted((x for x, g in zip(pairs, first) if not g), key=lambda x: (x[1] < 0, name(x[0])))
+        joined = {a: b for a, b in mine} | {b: a for a, b in mine if b >= 0}
         rows = []
         for p, q in goal:
             x = joined[p]
             if x == q:
                 continue
-            y = None if q is None else joined[q]
-            rows.append((pdf["component"].iloc[0], len(rows) + 1, p, q, x, y))
+            y = -1 if q < 0 else joined[q]
+            rows.append((p, q, x, y))
             for a, b in ((p, q), (x, y)):
-                joined.update({c: d for c, d in ((a, b), (b, a)) if c is not None})
-        return pd.DataFrame(rows, columns=["component", "step", "p", "q", "x", "y"])
+                joined.update({c: d for c, d in ((a, b), (b, a)) if c >= 0})
+        component = min((f"A:{name(a)}:{name(b) or '-'}" for a, b in mine), default=None)
+        out = pd.DataFrame({c: pd.Series([name(e) for e in ends], dtype=object) for c, ends in zip("pqxy", zip(*rows) if rows else [()] * 4)})
+        return out.assign(component=component, step=range(1, len(rows) + 1))[["component", "step", "p", "q", "x", "y"]]
 
-    return adj.join(comp.withColumnRenamed("v", "id"), "id").groupBy("component").applyInPandas(sort, "component string, step long, p string, q string, x string, y string")
+    return _shared_ends(genomes, one, other).groupBy("root").applyInPandas(sort, "component string, step long, p string, q string, x string, y string")
 
 
 def dot(edges: DataFrame, a: str, b: str, label: str) -> DataFrame:
