@@ -203,6 +203,21 @@ def test_dcj_distance_of_long_rings(spark, monkeypatch, most):
     assert max(map(len, rings.values())) > 100 and len(written) <= (3 if most > 1000 else 30)
 
 
+@pytest.mark.parametrize("most", [4_000_000, 20])
+def test_dcj_operations_of_long_rings(spark, monkeypatch, most):
+    """The steps, replayed, lead to the other genome, each component's in its own order; a few tables written."""
+    g, ends = shuffled_genomes(spark, 300, 6)
+    written = []
+    monkeypatch.setattr(graph, "kept", lambda df, keep=graph.kept: written.append(1) or keep(df))
+    monkeypatch.setattr(graph, "MOST_EDGES", most, raising=False)
+    steps, now = graph.dcj_operations(g, "a", "b").orderBy("component", "step").collect(), set(ends["a"])
+    assert len(written) <= (3 if most > 1000 else 30)
+    for r in steps:
+        now = now - {frozenset((r.p, r.x)) - {None}, frozenset((r.q, r.y)) - {None}} | {frozenset(e) - {None} for e in ((r.p, r.q), (r.x, r.y)) if e != (None, None)}
+    assert now == ends["b"] and len(steps) == graph.dcj_distance(g, "a", "b").first().distance
+    assert all(r.component.startswith("A:") for r in steps) and len({(r.component, r.step) for r in steps}) == len(steps)
+
+
 def test_searches_and_draws(spark):
     rng = random.Random(3)
     e = sorted({(rng.randrange(30), rng.randrange(30)) for _ in range(60)})
