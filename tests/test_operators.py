@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from contigo.functions import alignment, numeric, quality
 from contigo.functions import sequence as seq
 from contigo.operators import cluster, coverage, demux, graph, hits, islands, kmers, lengths, links, moments, pairing, scaffold, score, simulate
-from contigo.plans import assembly
+from contigo.plans import assembly, queries
 
 COMP = str.maketrans("ACGT", "TGCA")
 COMP_OF = dict(zip("ACGT", "TGCA"))
@@ -136,6 +136,22 @@ def test_hits(spark):
     assert rows(hits.self_hits(h), "query") == [("d",)]
 
 
+def test_similar_names(spark, monkeypatch):
+    """Every two rows of a group, also of one name, of names in several arrays, of null names and of repeated keys; distances taken by names, not by pairs of rows."""
+    rng = random.Random(6)
+    names = ["large ring", "hot bolt", "hot ring", "", None]
+    p = [(k, rng.choice(names), rng.choice("uvw"), rng.choice([1, 2])) for k in range(120)] + [(7, "hot bolt", "u", 1), (7, "hot bolt", "u", 1), (8, "large ring", None, 1), (None, "hot bolt", "u", 1)]
+    df = spark.createDataFrame(p, "k long, x string, g string, h int")
+    pair = df.toDF("a", "x", "g", "h").join(df.toDF("b", "y", "g", "h"), ["g", "h"]).where("a < b").select("a", "b", F.round(seq.similarity(F.col("x"), F.col("y")), 9).alias("similarity"))
+    plain = lambda t: sorted(map(tuple, t.collect()), key=repr)
+    for size in (512, 3):
+        monkeypatch.setattr(hits, "CHUNK", size)
+        got = hits.similar_names(df, ["g", "h"], "k", "x")
+        assert plain(got.select("a", "b", "similarity")) == plain(pair) and got.rdd.getNumPartitions() >= 96
+    plan = queries.QUERIES["similarity"][0](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("explode(keys") < plan.index("levenshtein")  # the distance lies below the pairs of rows
+
+
 def test_graph_operators(spark):
     rng = random.Random(3)
     edges = [(rng.randrange(60), rng.randrange(60)) for _ in range(40)]
