@@ -50,7 +50,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Staging, read_table, text_docs
+from .common import Staging, lean, read_table, text_docs
 from .repeats import CHUNK_BYTES, _buffers, _groups, _power, _sums
 
 WORDS = 5
@@ -313,7 +313,7 @@ def jaccard_components(docs: DataFrame, exact: bool = False) -> DataFrame:
     """doc_id, n_shingles, component_id. exact: no link is lost by chance."""
     spark, texts = docs.sparkSession, text_docs(docs)
     stage = Staging(spark, "jaccard")
-    signed = stage.write(texts.mapInArrow(functools.partial(_signatures, exact), "doc_id long, n long, id1 long, id2 long, keys array<long>, bits array<long>"), "signed")
+    signed = stage.write(texts.mapInArrow(lean(functools.partial(_signatures, exact)), "doc_id long, n long, id1 long, id2 long, keys array<long>, bits array<long>"), "signed")
     ids = stage.write(signed.select("doc_id", "n", "id1", "id2"), "ids", few=True)
     reps = ids.where("n > 0").groupBy("id1", "id2", "n").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
     sets = stage.write(signed.join(reps.select(F.col("rep").alias("doc_id")).distinct().hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("rep"), "n", "keys", "bits"), "sets", free=True)
@@ -329,10 +329,10 @@ def jaccard_components(docs: DataFrame, exact: bool = False) -> DataFrame:
     best = met.groupBy("rep").agg(F.max(F.struct("fits", "met", (-F.col("head")).alias("head"))).alias("best"))
     best = best.select(F.col("rep").alias("doc_id"), F.when(F.col("best.fits"), -F.col("best.head")).alias("head"))
     known = texts.join(best.hint("merge"), "doc_id").select("doc_id", "text", "head")
-    arrays = stage.write(known.mapInArrow(_arrays, "rep long, head long, shingles array<long>"), "arrays", free=True)
+    arrays = stage.write(known.mapInArrow(lean(_arrays), "rep long, head long, shingles array<long>"), "arrays", free=True)
     star = arrays.where("head IS NOT NULL").alias("x").join(arrays.select(F.col("rep").alias("to"), F.col("shingles").alias("other")).alias("y"), F.col("x.head") == F.col("y.to"))
     star = star.select(F.least("rep", "to").alias("a"), F.greatest("rep", "to").alias("b"), "shingles", "other")
-    links = star.mapInArrow(_linked, "a long, b long")
+    links = star.mapInArrow(lean(_linked), "a long, b long")
     every = met.select("rep").distinct()
     label = components(stage, links, "star")
     label = stage.write(every.join(label.toDF("rep", "c"), "rep", "left").select("rep", F.coalesce("c", "rep").alias("c")), "label0", few=True)
@@ -343,7 +343,7 @@ def jaccard_components(docs: DataFrame, exact: bool = False) -> DataFrame:
         pairs = stage.write(pairs.distinct(), f"pairs{k}", free=True, few=True)
         some = arrays.select("rep", "shingles").join(pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), "rep", "left_semi")
         both = pairs.join(some.toDF("a", "x"), "a").join(some.toDF("b", "y"), "b").select("a", "b", "x", "y")
-        new = both.mapInArrow(_linked, "a long, b long").join(label.toDF("a", "ca"), "a").join(label.toDF("b", "cb"), "b")
+        new = both.mapInArrow(lean(_linked), "a long, b long").join(label.toDF("a", "ca"), "a").join(label.toDF("b", "cb"), "b")
         edges = stage.write(new.where("ca != cb").select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct(), f"new{k}", free=True, few=True)
         if not edges.limit(1).count():
             return label
@@ -356,7 +356,7 @@ def jaccard_components(docs: DataFrame, exact: bool = False) -> DataFrame:
     for k in range(2, 2 + BEST_ROUNDS + 1):
         best_only = k < 2 + BEST_ROUNDS
         rows = _mixed(stage, tiles.select("key", "rep", "n").join(label, "rep"), sets, k, not best_only and not exact)
-        label = held_against(label, rows.mapInArrow(_tiles(best_only), "a long, b long"), k)
+        label = held_against(label, rows.mapInArrow(lean(_tiles(best_only)), "a long, b long"), k)
     stage.drop("tiles", "arrays", "met", "sets")
     found = label.toDF("v", "c")
 

@@ -13,7 +13,8 @@ is simply run again with the same result. When a block ends (or holds too many o
 the windows still open are closed by cutting: the emptiest are poured into the fullest. The
 last one is cut along the powers of two of its length, as such sequences need no padding.
 
-Memory of a task: the open windows (``max_open`` at most) and a bounded cache of words.
+Memory of a task: the open windows (``max_open`` at most) and a bounded cache of words. Both go when the task ends, as its
+worker stays for later tasks and stages, several to an executor.
 
 Edge cases: null or empty text is the end token alone; repeated rows are packed each; an
 empty table gives no rows; other columns are not read.
@@ -32,14 +33,14 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import read_table, text_docs
+from .common import lean, read_table, text_docs
 
 WINDOW = 2048
 END_ID = 1
 MAX_OPEN = 4096
 #: Words, and words without case and marks, whose ids a worker remembers; at these numbers it forgets all and starts again.
-CACHE_WORDS = 1_200_000
-CACHE_STEMS = 1_500_000
+CACHE_WORDS = 600_000
+CACHE_STEMS = 500_000
 #: Texts that are tokenised together.
 GROUP = 64
 _FEW = "\x1c\x1d\x1e\x1f"
@@ -252,9 +253,6 @@ def _powers(pieces: list, fill: int) -> Iterator[list]:
         yield out
 
 
-_tokens: dict[str, WordTokens] = {}
-
-
 def _packed(path: str, window: int, end_id: int, with_ids: bool):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         was = gc.isenabled()
@@ -264,9 +262,10 @@ def _packed(path: str, window: int, end_id: int, with_ids: bool):
         finally:  # the worker may run other tasks
             if was:
                 gc.enable()
+            gc.collect()  # else what cycles hold would stay until after lean() has given memory back
 
     def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = _tokens.get(path) or _tokens.setdefault(path, WordTokens(path))
+        tokens = WordTokens(path)
         end, block = array("I", [end_id]).tobytes(), TaskContext.get().partitionId() << 32
         packer, rows, local = Packer(window), [], 0
 
@@ -309,7 +308,7 @@ def _packed(path: str, window: int, end_id: int, with_ids: bool):
 def pack_documents(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: int = END_ID, with_ids: bool = True) -> DataFrame:
     """Pieces of packed sequences: one row per piece, with the sequence, the offset there and (with_ids) the token ids."""
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids array<int>" * with_ids
-    return text_docs(docs).mapInArrow(_packed(tokenizer_path, window, end_id, with_ids), schema)
+    return text_docs(docs).mapInArrow(lean(_packed(tokenizer_path, window, end_id, with_ids)), schema)
 
 
 def word_tokenizer() -> str:

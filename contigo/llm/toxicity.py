@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table, text_docs
+from .common import lean, read_table, text_docs
 from .repeats import CHUNK_BYTES, _buffers, _groups, _power, _sums
 
 SAMPLE = 20_000
@@ -326,7 +326,7 @@ def learn(docs: DataFrame, labels: DataFrame, allowed: Column, sample: int = SAM
         table = spark.sparkContext.broadcast(keys)
 
         def counts(df: DataFrame) -> tuple[np.ndarray, float, float]:
-            got = df.mapInArrow(_count_known(table), "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).collect()
+            got = df.mapInArrow(lean(_count_known(table)), "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).collect()
             out, rest = np.zeros(len(keys)), {-1: 0, -2: 0}
             for r in got:
                 if r.place >= 0:
@@ -367,7 +367,7 @@ def learn(docs: DataFrame, labels: DataFrame, allowed: Column, sample: int = SAM
 def find_passages(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, words, best (minus the log expectation of the best segment), passages, score, predicted."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    out = text_docs(docs).select("doc_id", "text").mapInArrow(_scored(shared), _SCORED)
+    out = text_docs(docs).select("doc_id", "text").mapInArrow(lean(_scored(shared)), _SCORED)
     a, b, c = (F.lit(float(v)) for v in model.curve)
     best = F.least(F.greatest(F.col("best"), F.lit(-30.0)), F.lit(10.0))
     line = F.least(F.greatest(a + b * best + c * F.log1p(F.size("passages")), F.lit(-50.0)), F.lit(50.0))
@@ -389,7 +389,7 @@ def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
             if best:
                 yield batch.filter(pa.array(shared.value.chance(np.concatenate(best), np.concatenate(passages)) < 0.5))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
 
 
 def fold(mod: int) -> Column:

@@ -95,3 +95,28 @@ def test_run_and_registration(spark, corpus):
     rows = corpus_pipeline.run(spark, corpus).collect()
     assert rows and {r.doc_id for r in rows} <= set(range(902)) and array("I", rows[0].ids)
     assert "contigo.llm" in sys.modules and toxicity.fold
+
+
+def test_workers_give_memory_back(spark, monkeypatch):
+    """Workers stay for the stages that follow, beside the heap of their executor: each stage's function gives freed memory back when a task ends, and surrogates come in small batches."""
+    import numpy as np
+    import pyarrow as pa
+
+    from contigo.llm import common, packing, pii, toxicity
+
+    df = spark.createDataFrame([(1, "a b", 3)], "doc_id long, text string, n_chars int")
+    sent, given = [], []
+    monkeypatch.setattr(type(df), "mapInArrow", lambda self, f, *a, **b: sent.append(f) or self)
+    monkeypatch.setattr(packing, "TaskContext", type("T", (), {"get": classmethod(lambda c: c), "partitionId": lambda: 0}))
+    toxicity.keep_clean(df, toxicity.Model(np.zeros(0, np.uint64), np.zeros(0)))
+    pii.with_surrogates(df, b"k")
+    packing.pack_documents(df, packing.word_tokenizer())
+    monkeypatch.setattr(common, "give_back", lambda: given.append(1), raising=False)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(2500)), pa.array(["call 555"] * 2500), pa.array([8] * 2500, pa.int32())], ["doc_id", "text", "n_chars"])
+    out = [list(f(iter([batch][: f is sent[1]]))) for f in sent]
+    assert len(sent) == len(given) == 3
+    assert sum(b.num_rows for b in out[1]) == 2500 and max(b.num_rows for b in out[1]) <= 1000
+    with_rest = sent[1](iter([batch]))
+    next(with_rest)
+    with_rest.close()  # a task that ends early, as below a limit
+    assert len(given) == 4
