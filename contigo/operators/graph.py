@@ -425,32 +425,62 @@ def dcj_distance(genomes: DataFrame, one: str, other: str) -> DataFrame:
     return stats.select("n", "c", "i", (F.col("n") - F.col("c") - F.col("i") / 2).alias("distance"))
 
 
+#: Adjacencies that a task takes up at once when it looks for steps, besides those of its largest component.
+MOST_ADJACENCIES = 200_000
+
+
 def dcj_operations(genomes: DataFrame, one: str, other: str) -> DataFrame:
     """component, step, p, q, x, y: joins that turn one genome into the other, as few as the distance: each joins ends p and q, and what they were joined to, x and y (null: a telomere).
 
-    Greedy within a component of the adjacency graph, which no step leaves: first the other genome's adjacencies, then its telomeres.
+    Greedy within a component of the adjacency graph, which no step leaves: first the other genome's adjacencies, then its telomeres. A task takes
+    up many components together, as most are small.
     """
-
-    def sort(pdf: pd.DataFrame) -> pd.DataFrame:
-        name = lambda e: None if e < 0 else f"{e >> 1}{'th'[e & 1]}"
-        pairs, first = list(zip(pdf["l"].tolist(), pdf["r"].tolist())), pdf["first"].tolist()
-        mine = [x for x, g in zip(pairs, first) if g]
-        goal = sorted((x for x, g in zip(pairs, first) if not g), key=lambda x: (x[1] < 0, name(x[0])))
-        joined = {a: b for a, b in mine} | {b: a for a, b in mine if b >= 0}
-        rows = []
-        for p, q in goal:
+    most = MOST_ADJACENCIES
+
+    def steps(root: np.ndarray, first: np.ndarray, l: np.ndarray, r: np.ndarray) -> pd.DataFrame:  # noqa: E741
+        mine, two = np.flatnonzero(first), np.flatnonzero(first & (r >= 0))
+        joined = dict(zip(l[mine].tolist(), r[mine].tolist()))
+        joined.update(zip(r[two].tolist(), l[two].tolist()))
+        goal, rows = np.flatnonzero(~first), []
+        for at, p, q in zip(goal.tolist(), l[goal].tolist(), r[goal].tolist()):
             x = joined[p]
             if x == q:
                 continue
             y = -1 if q < 0 else joined[q]
-            rows.append((p, q, x, y))
-            for a, b in ((p, q), (x, y)):
-                joined.update({c: d for c, d in ((a, b), (b, a)) if c >= 0})
-        component = min((f"A:{name(a)}:{name(b) or '-'}" for a, b in mine), default=None)
-        out = pd.DataFrame({c: pd.Series([name(e) for e in ends], dtype=object) for c, ends in zip("pqxy", zip(*rows) if rows else [()] * 4)})
-        return out.assign(component=component, step=range(1, len(rows) + 1))[["component", "step", "p", "q", "x", "y"]]
-
-    return _shared_ends(genomes, one, other).groupBy("root").applyInPandas(sort, "component string, step long, p string, q string, x string, y string")
+            rows.append((at, p, q, x, y))
+            joined[p] = q
+            if q >= 0:
+                joined[q] = p
+            if x >= 0:
+                joined[x] = y
+            if y >= 0:
+                joined[y] = x
+        at, *ends = np.array(rows, np.int64).reshape(-1, 5).T
+        names, begin, of = np.unique(root, return_index=True, return_inverse=True)
+        of = of[at]  # components in their order here, as rows come in order of root
+        step = np.arange(len(at)) - np.searchsorted(of, np.arange(len(names)))[of] + 1
+        return pd.DataFrame(dict(zip(["a", "b", "step", *"pqxy"], [l[begin[of]], r[begin[of]], step, *ends])))
+
+    def sort(batches):
+        held, n = [], 0
+        for pdf in batches:
+            held.append(pdf)
+            n += len(pdf)
+            if n >= most:
+                rows = pd.concat(held, ignore_index=True)
+                begin = int(np.searchsorted(rows["root"].to_numpy(), rows["root"].iloc[-1]))  # the last component may go on
+                if begin:
+                    yield steps(*(rows[c].to_numpy()[:begin] for c in rows))
+                held = [rows.iloc[begin:]]
+                n = 0 if begin == 0 else len(held[0])  # a large component is put together again once it has grown by as much
+        if held:
+            yield steps(*(c.to_numpy() for _, c in pd.concat(held, ignore_index=True).items()))
+
+    name = lambda c: F.when(F.col(c) >= 0, F.concat(F.shiftright(c, 1).cast("string"), F.when(F.col(c) % 2 == 1, "h").otherwise("t")))
+    ends = _shared_ends(genomes, one, other).select("root", "first", "l", "r").repartition("root")
+    ends = ends.sortWithinPartitions("root", F.col("first").desc(), ~F.col("first") & (F.col("r") < 0), name("l"), F.coalesce(name("r"), F.lit("-")))
+    found = ends.mapInPandas(sort, "a long, b long, step long, p long, q long, x long, y long")
+    return found.select(F.concat(F.lit("A:"), name("a"), F.lit(":"), F.coalesce(name("b"), F.lit("-"))).alias("component"), "step", *(name(c).alias(c) for c in "pqxy"))
 
 
 def dot(edges: DataFrame, a: str, b: str, label: str) -> DataFrame:

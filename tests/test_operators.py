@@ -234,6 +234,33 @@ def test_dcj_operations_of_long_rings(spark, monkeypatch, most):
     assert all(r.component.startswith("A:") for r in steps) and len({(r.component, r.step) for r in steps}) == len(steps)
 
 
+@pytest.mark.parametrize("most", [200_000, 7])
+def test_dcj_operations_of_many_components(spark, monkeypatch, most):
+    """Many small components and one ring in one table: the steps of each, replayed, lead to the other genome, also where a task takes up few rows at once; no call for each component."""
+    rng, a, b = random.Random(7), [], []
+    for k in range(0, 1200, 4):  # four blocks a chromosome, in another order and direction there
+        a.append([k + 1, k + 2, k + 3, k + 4])
+        b.append([rng.choice((1, -1)) * x for x in rng.sample(a[-1], 4)])
+    a.append(list(range(2000, 2060)))
+    b.append([rng.choice((1, -1)) * x for x in rng.sample(a[-1], 60)])
+    g = spark.createDataFrame([(n, i, c) for n, x in (("a", a), ("b", b)) for i, c in enumerate(x)], "genome string, chromosome int, blocks array<int>")
+    end = lambda x, out: f"{abs(x)}{'h' if (x > 0) == out else 't'}"
+    ends = [{frozenset(e) for c in x for e in [(end(c[0], False),), (end(c[-1], True),), *((end(p, True), end(q, False)) for p, q in zip(c, c[1:]))]} for x in (a, b)]
+    monkeypatch.setattr(graph, "MOST_ADJACENCIES", most, raising=False)
+    df = graph.dcj_operations(g, "a", "b")
+    steps, now = df.orderBy("component", "step").collect(), set(ends[0])
+    for r in steps:
+        now = now - {frozenset((r.p, r.x)) - {None}, frozenset((r.q, r.y)) - {None}} | {frozenset(e) - {None} for e in ((r.p, r.q), (r.x, r.y)) if e != (None, None)}
+    assert now == ends[1] and len(steps) == graph.dcj_distance(g, "a", "b").first().distance
+    by = {}
+    for r in steps:
+        by.setdefault(r.component, []).append(r)
+    assert len(by) > 250 and all([r.step for r in x] == list(range(1, len(x) + 1)) for x in by.values())
+    starts = {f"A:{min(x)}:{max(x) if len(x) > 1 else '-'}" for x in ends[0]}
+    assert set(by) <= starts
+    assert "FlatMapGroups" not in df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_searches_and_draws(spark):
     rng = random.Random(3)
     e = sorted({(rng.randrange(30), rng.randrange(30)) for _ in range(60)})
