@@ -2,6 +2,7 @@ import itertools
 import math
 import random
 
+import duckdb
 import numpy as np
 import pytest
 from hypothesis import given, settings
@@ -152,6 +153,29 @@ def test_similar_names(spark, monkeypatch):
     assert plan.index("explode(keys") < plan.index("levenshtein")  # the distance lies below the pairs of rows
 
 
+def test_similar_classes(spark, tmp_path):
+    """The query holds every two parts of the table, whatever their brands and sizes: those of two names as similar as these, those of one name under its least key. As its SQL, also with null names and keys and with a key of two names."""
+    rng = random.Random(7)
+    names = ["large ring", "hot bolt", "hot ring", "old ring", "", None]
+    p = [(k, rng.choice(names), rng.choice("uvw"), rng.choice([1, 2])) for k in range(60)] + [(90, "lone rod", "u", 1), (91, "hot bolt", None, None), (90, "a rod", "z", 9), (None, "hot ring", "u", 1), (None, "no key", "u", 1)]
+    df = spark.createDataFrame(p, "p_partkey long, p_name string, p_brand string, p_size int")
+    df.write.parquet(f"{tmp_path}/part.parquet")
+    f, sql = queries.QUERIES["similarity"]
+    got = [tuple(r) for r in f(spark, str(tmp_path)).select("a", "b", "x", "y", "similarity").collect()]
+    said = duckdb.connect()
+    said.execute(f"CREATE VIEW part AS SELECT * FROM '{tmp_path}/part.parquet/*.parquet'")
+    assert sorted(got, key=repr) == sorted(said.execute(f"SELECT a, b, x, y, similarity FROM ({sql})").fetchall(), key=repr)
+    members = {(a, x): {(a, x)} for pair in got for a, x in (pair[::2][:2], pair[1::2][:2]) if pair[2] != pair[3]}
+    for a, b, x, y, _ in got:
+        if x == y:
+            members[a, x].add((b, y))
+    found = {(frozenset([u, v]), s) for a, b, x, y, s in got if x != y for u in members[a, x] for v in members[b, y]}
+    found |= {(frozenset([u, v]), None if x is None else 1.0) for (_, x), m in members.items() for u in m for v in m if u < v}
+    rows_ = df.where("p_partkey IS NOT NULL").select("p_partkey", "p_name").distinct()
+    each = rows_.toDF("a", "x").join(rows_.toDF("b", "y"), F.struct("a", "x") < F.struct("b", "y")).select("a", "x", "b", "y", F.round(seq.similarity(F.col("x"), F.col("y")), 9)).collect()
+    assert found == {(frozenset([(a, x), (b, y)]), s) for a, x, b, y, s in each}
+
+
 def test_graph_operators(spark):
     rng = random.Random(3)
     edges = [(rng.randrange(60), rng.randrange(60)) for _ in range(40)]
