@@ -22,8 +22,8 @@ def sessions(df: DataFrame, by: list[str], order: list[str], is_new: Column) ->
 
 
 def merge_overlapping(df: DataFrame, by: list[str], start: str, end: str, slack: float = 0) -> DataFrame:
-    """by, start, end, n: intervals that overlap (or lie within slack) merged."""
-    w = Window.partitionBy(*by).orderBy(start, end)
+    """by, start, end, n: intervals that overlap (or lie within slack) merged. Nulls sort last, as in SQL: rows without a start count in the last one."""
+    w = Window.partitionBy(*by).orderBy(F.col(start).asc_nulls_last(), F.col(end).asc_nulls_last())
     reach = F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1))
     rows = df.withColumn("__new", (reach.isNull() | (F.col(start) > reach + slack)).cast("int"))
     rows = rows.withColumn("__g", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0)))

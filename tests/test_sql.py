@@ -29,3 +29,21 @@ def test_equals_sql(spark, db, name):
     plain = lambda v: round(v, 9) + 0.0 if isinstance(v, float) else v
     mine = sorted((tuple(plain(r[c]) for c in columns) for r in got.collect()), key=repr)
     assert mine == sorted((tuple(plain(r[k]) for k in at) for r in found.fetchall()), key=repr)
+
+
+def lines_of(spark, tmp_path, name, rows):
+    """The query's rows over such lines (order, part, supplier, number), and those of its SQL on one thread, which keeps the order of equal rows."""
+    df = spark.createDataFrame(rows, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int")
+    df.coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    f, sql = queries.QUERIES[name]
+    got = f(spark, str(tmp_path))
+    c = duckdb.connect(config={"threads": 1})
+    c.execute(f"CREATE VIEW lineitem AS SELECT * FROM '{tmp_path}/lineitem.parquet/*.parquet'")
+    return sorted(map(tuple, got.collect()), key=repr), sorted(c.execute(f"SELECT {', '.join(got.columns)} FROM ({sql})").fetchall(), key=repr)
+
+
+def test_merged_regions_of_nulls(spark, tmp_path):
+    """Regions without a start, without an end, and of a null supplier, beside equal ones."""
+    one = [(0, 5, 1, 3), (0, 5, 1, 3), (0, 5, 1, None), (0, None, 1, 2), (0, None, 1, None), (0, 20, 1, 1), (0, 9, 1, None), (0, None, 2, 1), (0, 7, 2, 4), (0, 30, 3, None), (0, 31, 3, 1), (0, 3, None, 2), (0, None, None, 2)]
+    mine, said = lines_of(spark, tmp_path, "merged_regions", one)
+    assert mine == said and (2, 7, 11, 2) in mine
